@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomset.session import join_lookup
+
 REGISTRY_SCHEMA = (
     "seq bigint, name string, version string, path string, "
     "metrics map<string,double>, timestamp timestamp, status string"
@@ -62,11 +64,12 @@ def update_status(registry: DataFrame, changes: DataFrame) -> DataFrame:
     """Apply ``changes`` ``(change_no, name, version, status)``.
 
     A change hits the first matching row only, and the last change of a key wins. The row is found
-    by a combined minimum per key, then set by a join on the unique ``seq``.
+    by a combined minimum per key, then set by a join on the unique ``seq``, so a key with many
+    rows is never gathered.
     """
     keys = ["name", "version"]
     final = changes.groupBy(*keys).agg(F.max_by("status", "change_no").alias("_new"))
-    first = registry.join(final, keys, "left_semi").groupBy(*keys).agg(F.min("seq").alias("seq"))
+    first = registry.groupBy(*keys).agg(F.min("seq").alias("seq"))
     target = first.join(final, keys).select("seq", "_new")
     updated = registry.join(target, "seq", "left")
     return updated.withColumn("status", F.coalesce("_new", "status")).select(*registry.columns)
@@ -74,7 +77,8 @@ def update_status(registry: DataFrame, changes: DataFrame) -> DataFrame:
 
 def delete_versions(registry: DataFrame, keys: DataFrame) -> DataFrame:
     """The registry without any row that matches ``(name, version)`` in ``keys``."""
-    return registry.join(keys, ["name", "version"], "left_anti").select(*registry.columns)
+    wanted = keys.select("name", "version").distinct()
+    return join_lookup(registry, wanted, ["name", "version"], "left_anti").select(*registry.columns)
 
 
 def matched_keys(registry: DataFrame, keys: DataFrame) -> DataFrame:

@@ -74,20 +74,27 @@ def stopping_states(
     return bests, waits, waits >= patience
 
 
-def _chunk_records(pdf: pd.DataFrame) -> pd.DataFrame:
-    """A chunk's strict prefix minima: all that can matter to a state coming from before it."""
-    losses = pdf.sort_values("step")["eval_loss"].to_numpy()
-    before = np.concatenate(([np.inf], np.minimum.accumulate(losses)[:-1]))
-    at = np.flatnonzero(losses < before)
-    return pd.DataFrame(
-        {
-            "run_id": [pdf["run_id"].iloc[0]],
-            "chunk": [pdf["chunk"].iloc[0]],
-            "n": [len(losses)],
-            "records": [losses[at]],
-            "places": [at],
-        }
-    )
+def _segments(pdf: pd.DataFrame) -> Iterator[tuple[int, int]]:
+    """Row ranges of equal (run, chunk) in a batch that is sorted by them."""
+    if len(pdf) == 0:
+        return
+    runs, chunks = pdf["run_id"].to_numpy(), pdf["chunk"].to_numpy()
+    cuts = np.flatnonzero((runs[1:] != runs[:-1]) | (chunks[1:] != chunks[:-1])) + 1
+    edges = [0, *cuts.tolist(), len(pdf)]
+    yield from zip(edges[:-1], edges[1:])
+
+
+def _chunk_records(rows: DataFrame) -> DataFrame:
+    """Each chunk's strict prefix minima: all that can matter to a state coming from before it."""
+    in_chunk = Window.partitionBy("run_id", "chunk").orderBy("step")
+    before = F.min("eval_loss").over(in_chunk.rowsBetween(Window.unboundedPreceding, -1))
+    place = F.row_number().over(in_chunk)
+    marked = rows.select("run_id", "chunk", "eval_loss", before.alias("_before"), place.alias("_place"))
+    is_record = F.col("_before").isNull() | (F.col("eval_loss") < F.col("_before"))
+    record = F.when(is_record, F.struct(F.col("_place").alias("place"), F.col("eval_loss").alias("loss")))
+    return marked.groupBy("run_id", "chunk").agg(
+        F.count("*").alias("n"), F.array_sort(F.collect_list(record)).alias("records")
+    ).select("run_id", "chunk", "n", F.col("records.place").alias("places"), F.col("records.loss").alias("losses"))
 
 
 def _walk_chunks(min_delta: float):
@@ -100,11 +107,11 @@ def _walk_chunks(min_delta: float):
                     run, best, wait = row.run_id, None, 0
                 best_in.append(best)
                 wait_in.append(wait)
-                records = np.asarray(row.records, dtype=float)
-                hits = improve(records, best, min_delta)
+                losses = np.asarray(row.losses, dtype=float)
+                hits = improve(losses, best, min_delta)
                 if len(hits):
-                    best = float(records[hits[-1]])
-                    wait = int(row.n - 1 - row.places[hits[-1]])
+                    best = float(losses[hits[-1]])
+                    wait = int(row.n - row.places[hits[-1]])
                 else:
                     wait += int(row.n)
             out = pdf[["run_id", "chunk"]].copy()
@@ -115,19 +122,37 @@ def _walk_chunks(min_delta: float):
     return walk
 
 
-def _finish_chunk(patience: int, min_delta: float):
-    def finish(events: pd.DataFrame, carried: pd.DataFrame) -> pd.DataFrame:
-        pdf = events.sort_values("step")
-        best = carried["best_in"].iloc[0]
-        best = None if pd.isna(best) else float(best)
-        wait = int(carried["wait_in"].iloc[0])
-        bests, waits, stops = stopping_states(pdf["eval_loss"].to_numpy(), best, wait, patience, min_delta)
-        out = pdf[["run_id", "step", "eval_loss"]].copy()
-        return out.assign(best_loss=bests, wait_count=waits, should_stop=stops)
+def _finish_chunks(patience: int, min_delta: float):
+    """Per-row states of sorted rows that carry the state at their chunk's start."""
+
+    def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, best, wait = None, None, 0
+        for pdf in batches:
+            runs, chunks, losses = (pdf[c].to_numpy() for c in ("run_id", "chunk", "eval_loss"))
+            best_in, wait_in = pdf["best_in"].to_numpy(dtype=float, na_value=np.nan), pdf["wait_in"].to_numpy()
+            parts = []
+            for start, end in _segments(pdf):
+                here = (runs[start], chunks[start])
+                if here != at:
+                    at, wait = here, int(wait_in[start])
+                    best = None if np.isnan(best_in[start]) else float(best_in[start])
+                states = stopping_states(losses[start:end], best, wait, patience, min_delta)
+                best, wait = float(states[0][-1]), int(states[1][-1])
+                parts.append(states)
+            if parts:
+                bests, waits, stops = (np.concatenate(column) for column in zip(*parts))
+                out = pdf[["run_id", "step", "eval_loss"]]
+                yield out.assign(best_loss=bests, wait_count=waits, should_stop=stops)
 
     return finish
 
 
+def _with_carry(rows: DataFrame, carried: DataFrame) -> DataFrame:
+    """Rows next to the state at their chunk's start, each chunk in one place and in step order."""
+    joined = rows.join(carried, ["run_id", "chunk"])
+    return joined.repartition("run_id", "chunk").sortWithinPartitions("run_id", "chunk", "step")
+
+
 def early_stopping_states(
     events: DataFrame, patience: int = PATIENCE, min_delta: float = MIN_DELTA, chunk_steps: int = CHUNK_STEPS
 ) -> DataFrame:
@@ -138,20 +163,13 @@ def early_stopping_states(
     """
     run_type = events.schema["run_id"].dataType.simpleString()
     rows = chunked(events, chunk_steps)
-    records = rows.groupBy("run_id", "chunk").applyInPandas(
-        _chunk_records, f"run_id {run_type}, chunk bigint, n bigint, records array<double>, places array<bigint>"
-    )
-    ordered = records.repartition("run_id").sortWithinPartitions("run_id", "chunk")
+    ordered = _chunk_records(rows).repartition("run_id").sortWithinPartitions("run_id", "chunk")
     carried = ordered.mapInPandas(
         _walk_chunks(min_delta), f"run_id {run_type}, chunk bigint, best_in double, wait_in bigint"
     )
-    return (
-        rows.groupBy("run_id", "chunk")
-        .cogroup(carried.groupBy("run_id", "chunk"))
-        .applyInPandas(
-            _finish_chunk(patience, min_delta),
-            f"run_id {run_type}, step bigint, eval_loss double, best_loss double, wait_count bigint, should_stop boolean",
-        )
+    return _with_carry(rows, carried).mapInPandas(
+        _finish_chunks(patience, min_delta),
+        f"run_id {run_type}, step bigint, eval_loss double, best_loss double, wait_count bigint, should_stop boolean",
     )
 
 
@@ -198,12 +216,11 @@ def best_checkpoint(events: DataFrame, save_dir: str = "checkpoints/best") -> Da
     return best.select("run_id", checkpoint_path(save_dir, F.col("b.step")).alias("path"), "b.eval_loss", "b.step")
 
 
-def _chunk_smallest(k: int):
-    def smallest(pdf: pd.DataFrame) -> pd.DataFrame:
-        losses = heapq.nsmallest(k, pdf["eval_loss"].tolist())
-        return pd.DataFrame({"run_id": [pdf["run_id"].iloc[0]], "chunk": [pdf["chunk"].iloc[0]], "losses": [losses]})
-
-    return smallest
+def _chunk_smallest(rows: DataFrame, k: int) -> DataFrame:
+    """The ``k`` smallest losses of each chunk."""
+    w = Window.partitionBy("run_id", "chunk").orderBy("eval_loss")
+    few = rows.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k)
+    return few.groupBy("run_id", "chunk").agg(F.collect_list("eval_loss").alias("losses"))
 
 
 def _walk_smallest(k: int):
@@ -222,19 +239,28 @@ def _walk_smallest(k: int):
 
 
 def _admit(k: int):
-    def admit(events: pd.DataFrame, carried: pd.DataFrame) -> pd.DataFrame:
-        pdf = events.sort_values("step")
-        worst_first = [-x for x in carried["kept_in"].iloc[0]]
-        heapq.heapify(worst_first)
-        admitted = []
-        for loss in pdf["eval_loss"].tolist():
-            enters = len(worst_first) < k or loss < -worst_first[0]
-            if len(worst_first) < k:
-                heapq.heappush(worst_first, -loss)
-            elif enters:
-                heapq.heapreplace(worst_first, -loss)
-            admitted.append(enters)
-        return pdf[["run_id", "step", "eval_loss"]].assign(admitted=admitted)
+    """Admission of sorted rows that carry the losses kept at their chunk's start."""
+
+    def admit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, worst_first = None, []
+        for pdf in batches:
+            runs, chunks, kept_in = pdf["run_id"].to_numpy(), pdf["chunk"].to_numpy(), pdf["kept_in"].to_numpy()
+            losses = pdf["eval_loss"].tolist()
+            admitted = []
+            for start, end in _segments(pdf):
+                here = (runs[start], chunks[start])
+                if here != at:
+                    at, worst_first = here, [-x for x in kept_in[start]]
+                    heapq.heapify(worst_first)
+                for loss in losses[start:end]:
+                    free = len(worst_first) < k
+                    enters = free or loss < -worst_first[0]
+                    if free:
+                        heapq.heappush(worst_first, -loss)
+                    elif enters:
+                        heapq.heapreplace(worst_first, -loss)
+                    admitted.append(enters)
+            yield pdf[["run_id", "step", "eval_loss"]].assign(admitted=admitted)
 
     return admit
 
@@ -246,15 +272,10 @@ def checkpoint_history(events: DataFrame, top_k: int = TOP_K, chunk_steps: int =
     """
     run_type = events.schema["run_id"].dataType.simpleString()
     rows = chunked(events, chunk_steps)
-    smallest = rows.groupBy("run_id", "chunk").applyInPandas(
-        _chunk_smallest(top_k), f"run_id {run_type}, chunk bigint, losses array<double>"
-    )
-    ordered = smallest.repartition("run_id").sortWithinPartitions("run_id", "chunk")
+    ordered = _chunk_smallest(rows, top_k).repartition("run_id").sortWithinPartitions("run_id", "chunk")
     carried = ordered.mapInPandas(_walk_smallest(top_k), f"run_id {run_type}, chunk bigint, kept_in array<double>")
-    admitted = (
-        rows.groupBy("run_id", "chunk")
-        .cogroup(carried.groupBy("run_id", "chunk"))
-        .applyInPandas(_admit(top_k), f"run_id {run_type}, step bigint, eval_loss double, admitted boolean")
+    admitted = _with_carry(rows, carried).mapInPandas(
+        _admit(top_k), f"run_id {run_type}, step bigint, eval_loss double, admitted boolean"
     )
     # (run, step) is unique, so this join has no hot key.
     final = _top_per_run(rows, top_k).select("run_id", "step", F.lit(True).alias("_kept"))

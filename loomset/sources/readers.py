@@ -63,11 +63,15 @@ def with_row_id(df: DataFrame) -> DataFrame:
 def spread(df: DataFrame, key: str, parallelism: int | None = None) -> DataFrame:
     """Give every core a share of an input with fewer scan partitions than cores.
 
-    A table of any real size has more partitions than cores and is returned as it is.
+    A table of any real size has more partitions than cores and is returned as it is. For a small
+    one, the always-true filter on a row counter keeps later filters above the shuffle, where all cores
+    share their work.
     """
     spark = df.sparkSession
     wanted = parallelism or spark.sparkContext.defaultParallelism
-    return df.repartition(wanted, key) if df.rdd.getNumPartitions() < wanted else df
+    if df.rdd.getNumPartitions() >= wanted:
+        return df
+    return df.repartition(wanted, key).where(F.monotonically_increasing_id() >= 0)
 
 
 def read_json_array(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
