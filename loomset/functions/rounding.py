@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 # Splits a double into two halves of at most 26 bits (Dekker 1971).
 _SPLITTER = float(2**27 + 1)
-# From here on a double has no fraction.
-_WHOLE = float(2**52)
+# From here on the neighbours of a double are further apart than the decimals asked for.
+_WHOLE = float(2**53)
 
 
 def py_round(c: Column, digits: int) -> Column:

@@ -128,15 +128,22 @@ def load(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
 def read_registry(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Registry rows; unknown keys are dropped, missing ones get their default.
 
-    A row that does not parse keeps its text in ``_corrupt_record``. ``multi_line`` reads files
-    that hold one JSON list.
+    A line that does not parse keeps its text in ``_corrupt_record``. ``multi_line`` reads files
+    that each hold one JSON list; there the whole file is the unit.
     """
-    raw = (
-        spark.read.schema(f"{REGISTRY_SCHEMA}, {CORRUPT} string")
-        .option("multiLine", multi_line)
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .json(path)
-    )
+    if multi_line:
+        files = spark.read.text(path, wholetext=True)
+        rows = T.ArrayType(T.StructType.fromDDL(REGISTRY_SCHEMA))
+        parsed = files.select("value", F.from_json("value", rows).alias("_list"))
+        items = parsed.select(
+            F.explode_outer("_list").alias("_row"), F.when(F.col("_list").isNull(), F.col("value")).alias(CORRUPT)
+        ).where(F.col("_row").isNotNull() | F.col(CORRUPT).isNotNull())
+        raw = items.select("_row.*", CORRUPT)
+    else:
+        lines = spark.read.text(path).where(F.length(F.trim("value")) > 0)
+        options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+        parsed = F.from_json("value", f"{REGISTRY_SCHEMA}, {CORRUPT} string", options)
+        raw = lines.select(parsed.alias("_row")).select("_row.*")
     blank = F.lit("")
     return raw.select(
         F.coalesce("seq", F.monotonically_increasing_id()).alias("seq"),
