@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomset.functions.overlap import f1, lcs_count, ngrams, overlap_counts, shared_count
+from loomset.functions.overlap import f1, ngrams, overlap_counts, shared_count
 from loomset.functions.ordering import row_positions
 from loomset.functions.text import py_strip, tokens
 
@@ -62,14 +62,14 @@ def pair_rouge_n(pairs: DataFrame, n: int, keep: tuple[str, ...] = ("pair_id",))
 
 def pair_rouge_l(pairs: DataFrame, keep: tuple[str, ...] = ("pair_id",)) -> DataFrame:
     """Adds the longest-common-subsequence F1 of each pair."""
-    counted = _tokenized(pairs, keep).withColumn("_lcs", lcs_count("_p", "_r"))
-    return counted.select(*keep, f1(F.col("_lcs"), F.size("_p"), F.size("_r")).alias("rouge_l"))
+    return pair_metrics(pairs, keep).select(*keep, "rouge_l")
 
 
 def pair_metrics(pairs: DataFrame, keep: tuple[str, ...] = ("pair_id",)) -> DataFrame:
     """BLEU, ROUGE-1, ROUGE-2 and ROUGE-L of each pair in one pass without a shuffle."""
-    counted = _tokenized(pairs, keep).withColumn("_c", overlap_counts("_p", "_r"))
-    p, r = F.size("_p"), F.size("_r")
+    texts = [F.coalesce(c, F.lit("")) for c in ("prediction", "reference")]
+    counted = pairs.select(*keep, overlap_counts(*texts).alias("_c"))
+    p, r = F.col("_c.left"), F.col("_c.right")
     return counted.select(
         *keep,
         _bleu(F.col("_c.uni"), p, r).alias("bleu"),

@@ -6,9 +6,10 @@ import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loomset.operators.evaluate import task_accuracy, text_metrics
 from loomset.operators.split import seeded_sample
@@ -18,7 +19,7 @@ Generate = Callable[[list[str], dict], list[tuple[str, int]]]
 # Called once per Python worker; loads the model and returns the generate function.
 Factory = Callable[[], Generate]
 
-RESULT_FIELDS = "generated_text string, num_tokens bigint, generation_time double"
+RESULT_FIELDS = [("generated_text", T.StringType()), ("num_tokens", T.LongType()), ("generation_time", T.DoubleType())]
 
 
 @dataclass(frozen=True)
@@ -61,21 +62,22 @@ def generate(
 ) -> DataFrame:
     """Adds the generated text, its token count and its share of the batch time to every row.
 
-    Rows stay where they are; each task loads the model once and feeds it ``batch_size`` prompts
-    at a time. Works on a batch or streaming table.
+    Rows stay where they are and pass through as Arrow columns; each task loads the model once and
+    feeds it ``batch_size`` prompts at a time. Works on a batch or streaming table.
     """
     if batch_size < 1:
         raise ValueError("batch_size must be at least 1")
     call = options.call_options(pad_token_id)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = None
-        for pdf in batches:
+        for batch in batches:
             texts, counts, times = [], [], []
-            for start in range(0, len(pdf), batch_size):
+            prompts_here = batch.column(prompt).to_pylist()
+            for start in range(0, len(prompts_here), batch_size):
                 if model is None:
                     model = factory()
-                part = pdf[prompt].iloc[start : start + batch_size].tolist()
+                part = prompts_here[start : start + batch_size]
                 began = time.perf_counter()
                 answers = model(part, call)
                 share = (time.perf_counter() - began) / len(part)
@@ -84,10 +86,17 @@ def generate(
                 texts += [text for text, _ in answers]
                 counts += [count for _, count in answers]
                 times += [share] * len(part)
-            yield pdf.assign(generated_text=texts, num_tokens=counts, generation_time=times)
+            added = {
+                "generated_text": pa.array(texts, pa.string()),
+                "num_tokens": pa.array(counts, pa.int64()),
+                "generation_time": pa.array(times, pa.float64()),
+            }
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, *added.values()], names=[*batch.schema.names, *added.keys()]
+            )
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in prompts.schema.fields)
-    return prompts.mapInPandas(run, f"{fields}, {RESULT_FIELDS}")
+    schema = T.StructType(prompts.schema.fields + [T.StructField(n, t) for n, t in RESULT_FIELDS])
+    return prompts.mapInArrow(run, schema)
 
 
 def score_batches(
@@ -99,17 +108,21 @@ def score_batches(
     inside each task, so no row moves.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = None
-        for pdf in batches:
+        for batch in batches:
+            texts = batch.column(0).to_pylist()
             rows = []
-            for start in range(0, len(pdf), batch_size):
+            for start in range(0, len(texts), batch_size):
                 if score is None:
                     score = factory()
-                rows.append(score(pdf["text"].iloc[start : start + batch_size].tolist(), max_length))
-            yield pd.DataFrame(rows, columns=["loss", "num_tokens"])
+                rows.append(score(texts[start : start + batch_size], max_length))
+            losses, counts = ([row[k] for row in rows] for k in (0, 1))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(losses, pa.float64()), pa.array(counts, pa.int64())], names=["loss", "num_tokens"]
+            )
 
-    return dataset.select(F.col(text).alias("text")).mapInPandas(run, "loss double, num_tokens bigint")
+    return dataset.select(F.col(text).alias("text")).mapInArrow(run, "loss double, num_tokens bigint")
 
 
 def tokens_per_second(num_tokens="num_tokens", seconds="generation_time"):

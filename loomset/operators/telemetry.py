@@ -123,34 +123,43 @@ def _walk_chunks(min_delta: float):
 
 
 def _finish_chunks(patience: int, min_delta: float):
-    """Per-row states of sorted rows that carry the state at their chunk's start."""
+    """Per-row states; each chunk begins with the row that carries its start state."""
 
     def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at, best, wait = None, None, 0
+        best, wait = None, 0
         for pdf in batches:
-            runs, chunks, losses = (pdf[c].to_numpy() for c in ("run_id", "chunk", "eval_loss"))
-            best_in, wait_in = pdf["best_in"].to_numpy(dtype=float, na_value=np.nan), pdf["wait_in"].to_numpy()
+            marker = pdf["step"].isna().to_numpy()
+            losses = pdf["eval_loss"].to_numpy(dtype=float, na_value=np.nan)
+            best_in = pdf["best_in"].to_numpy(dtype=float, na_value=np.nan)
+            wait_in = pdf["wait_in"].to_numpy(dtype=float, na_value=0)
             parts = []
             for start, end in _segments(pdf):
-                here = (runs[start], chunks[start])
-                if here != at:
-                    at, wait = here, int(wait_in[start])
+                if marker[start]:
                     best = None if np.isnan(best_in[start]) else float(best_in[start])
-                states = stopping_states(losses[start:end], best, wait, patience, min_delta)
-                best, wait = float(states[0][-1]), int(states[1][-1])
-                parts.append(states)
+                    wait = int(wait_in[start])
+                    start += 1
+                if start < end:
+                    states = stopping_states(losses[start:end], best, wait, patience, min_delta)
+                    best, wait = float(states[0][-1]), int(states[1][-1])
+                    parts.append(states)
             if parts:
                 bests, waits, stops = (np.concatenate(column) for column in zip(*parts))
-                out = pdf[["run_id", "step", "eval_loss"]]
+                out = pdf.loc[~marker, ["run_id", "step", "eval_loss"]].astype({"step": "int64"})
                 yield out.assign(best_loss=bests, wait_count=waits, should_stop=stops)
 
     return finish
 
 
 def _with_carry(rows: DataFrame, carried: DataFrame) -> DataFrame:
-    """Rows next to the state at their chunk's start, each chunk in one place and in step order."""
-    joined = rows.join(carried, ["run_id", "chunk"])
-    return joined.repartition("run_id", "chunk").sortWithinPartitions("run_id", "chunk", "step")
+    """Rows in step order, each chunk in one place and headed by a row with its start state.
+
+    The heading row has no step, so it sorts first. A union costs one shuffle where a join would
+    need another one to bring the chunks back together.
+    """
+    together = rows.unionByName(carried, allowMissingColumns=True)
+    return together.repartition("run_id", "chunk").sortWithinPartitions(
+        "run_id", "chunk", F.col("step").asc_nulls_first()
+    )
 
 
 def early_stopping_states(
@@ -239,19 +248,19 @@ def _walk_smallest(k: int):
 
 
 def _admit(k: int):
-    """Admission of sorted rows that carry the losses kept at their chunk's start."""
+    """Admission per row; each chunk begins with the row that carries the losses kept so far."""
 
     def admit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at, worst_first = None, []
+        worst_first: list[float] = []
         for pdf in batches:
-            runs, chunks, kept_in = pdf["run_id"].to_numpy(), pdf["chunk"].to_numpy(), pdf["kept_in"].to_numpy()
+            marker, kept_in = pdf["step"].isna().to_numpy(), pdf["kept_in"].to_numpy()
             losses = pdf["eval_loss"].tolist()
             admitted = []
             for start, end in _segments(pdf):
-                here = (runs[start], chunks[start])
-                if here != at:
-                    at, worst_first = here, [-x for x in kept_in[start]]
+                if marker[start]:
+                    worst_first = [-x for x in kept_in[start]]
                     heapq.heapify(worst_first)
+                    start += 1
                 for loss in losses[start:end]:
                     free = len(worst_first) < k
                     enters = free or loss < -worst_first[0]
@@ -260,7 +269,8 @@ def _admit(k: int):
                     elif enters:
                         heapq.heapreplace(worst_first, -loss)
                     admitted.append(enters)
-            yield pdf[["run_id", "step", "eval_loss"]].assign(admitted=admitted)
+            out = pdf.loc[~marker, ["run_id", "step", "eval_loss"]].astype({"step": "int64"})
+            yield out.assign(admitted=admitted)
 
     return admit
 
