@@ -17,7 +17,7 @@ PY_WHITESPACE = (
 _WS = r"\s\x1c-\x1f"
 WS_RUN = rf"(?U)[{_WS}]+"
 NON_WS = rf"(?U)[^{_WS}]"
-SPECIAL = rf"(?U)[^\p{{L}}\p{{N}}{_WS}]"
+NORMAL_RUN = rf"(?U)[\p{{L}}\p{{N}}{_WS}]++"
 
 
 def py_strip(c: Column) -> Column:
@@ -37,7 +37,7 @@ def tokens(c: Column) -> Column:
 
 def special_count(c: Column) -> Column:
     """Characters that are neither alphanumeric nor whitespace."""
-    return F.regexp_count(c, F.lit(SPECIAL))
+    return F.length(F.regexp_replace(c, NORMAL_RUN, ""))
 
 
 def special_ratio(*parts: Column) -> Column:

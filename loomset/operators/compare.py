@@ -81,16 +81,19 @@ def best_model(results: DataFrame, metric: str = "perplexity") -> DataFrame:
 
 
 def improvements(results: DataFrame) -> DataFrame:
-    """Change from the first to the last model per metric, where both have a value."""
-    ends = results.agg(F.struct(F.min("pos").alias("lo"), F.max("pos").alias("hi")).alias("ends"))
-    span = ends.scalar()
-    placed = results.withColumn("_ends", span).where(
-        (F.col("_ends.lo") < F.col("_ends.hi")) & F.col("pos").isin(F.col("_ends.lo"), F.col("_ends.hi"))
-    )
-    pairs = placed.groupBy("metric").agg(
-        F.max(F.when(F.col("pos") == F.col("_ends.lo"), F.col("value"))).alias("base_value"),
-        F.max(F.when(F.col("pos") == F.col("_ends.hi"), F.col("value"))).alias("finetuned_value"),
+    """Change from the first to the last model per metric, where both have a value.
+
+    One aggregate per metric keeps its own first and last value; a metric counts when those two
+    come from the first and the last model of the whole table.
+    """
+    per_metric = results.groupBy("metric").agg(
+        F.min("pos").alias("_lo"),
+        F.max("pos").alias("_hi"),
+        F.min_by("value", "pos").alias("base_value"),
+        F.max_by("value", "pos").alias("finetuned_value"),
     )
+    first, last = (results.agg(how("pos")).scalar() for how in (F.min, F.max))
+    pairs = per_metric.where("_lo < _hi").where((F.col("_lo") == first) & (F.col("_hi") == last))
     change = F.col("finetuned_value") - F.col("base_value")
     return pairs.where("base_value IS NOT NULL AND finetuned_value IS NOT NULL").select(
         "metric",

@@ -25,13 +25,13 @@ def dataset_stats(df: DataFrame, *extra: Column) -> DataFrame:
     """
     lengths = df.select(
         *[c for c in df.columns if c not in _FIELDS],
-        *[F.length(F.coalesce(F.col(c), F.lit(""))).alias(c) for c in _FIELDS],
+        *[F.length(F.coalesce(F.col(c), F.lit(""))).cast("bigint").alias(c) for c in _FIELDS],
         F.coalesce(has_text(F.col("input")), F.lit(False)).alias("_has_input"),
     )
-    estimate = F.expr("(cast(instruction AS BIGINT) + input + output) div 4")
+    estimate = F.expr("(instruction + input + output) div 4")
     aggregates = [F.count("*").alias("num_samples")]
     for how, fn in (("avg", F.avg), ("max", F.max), ("min", F.min)):
-        zero = F.lit(0.0) if how == "avg" else F.lit(0)
+        zero = F.lit(0.0) if how == "avg" else F.lit(0).cast("bigint")
         aggregates += [F.coalesce(fn(c), zero).alias(f"{how}_{c}_len") for c in _FIELDS]
     aggregates.append(F.count_if(~F.col("_has_input")).alias("empty_input_count"))
     for position, (_, low, high) in enumerate(TOKEN_BUCKETS):

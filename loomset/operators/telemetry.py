@@ -205,7 +205,8 @@ def _top_per_run(rows: DataFrame, k: int) -> DataFrame:
         inner = Window.partitionBy("run_id", "chunk").orderBy(*order)
         rows = rows.withColumn("_r", F.row_number().over(inner)).where(F.col("_r") <= k).drop("_r")
     w = Window.partitionBy("run_id").orderBy(*order)
-    return rows.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    ranked = rows.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return ranked.withColumn("rank", F.col("rank").cast("bigint"))
 
 
 def checkpoint_path(save_dir: str, step: Column) -> Column:

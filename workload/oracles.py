@@ -262,7 +262,7 @@ ORACLES: dict[str, str] = {
     ),
     "review_json_readback": with_(
         "turns_unified", "sampled",
-        body="""SELECT sample_id, prompt, reference, generated, CAST(NULL AS INTEGER) AS rating, '' AS notes,
+        body="""SELECT sample_id, prompt, reference, generated, TRUE AS unrated, '' AS notes,
             source_row, CAST(0.7 AS DOUBLE) AS temperature FROM sampled""",
     ),
     "review_markdown_readback": "WITH " + ", ".join([VIEWS["turns_unified"], VIEWS["sampled"], MARKDOWN_LINES]),
@@ -388,7 +388,7 @@ ORACLES: dict[str, str] = {
     "perplexity": with_(
         "scored",
         body="""SELECT run, round(exp(sum(loss * num_tokens) / sum(num_tokens)), 6) AS perplexity,
-            sum(num_tokens) AS total_tokens FROM scored GROUP BY run""",
+            CAST(sum(num_tokens) AS BIGINT) AS total_tokens FROM scored GROUP BY run""",
     ),
     "batch_ids": with_("unified", body="SELECT row_id, (row_number() OVER (ORDER BY row_id) - 1) // 4 AS batch_id FROM unified"),
     "wide_results": with_(
@@ -514,7 +514,7 @@ ORACLES: dict[str, str] = {
     "throughput": with_(
         "usage",
         body="""SELECT *, round(CASE WHEN generation_time <= 0 THEN 0.0 ELSE num_tokens / generation_time END, 6) AS tokens_per_second
-            FROM (SELECT count(*) AS num_prompts, sum(usage_id) AS num_tokens,
+            FROM (SELECT count(*) AS num_prompts, CAST(sum(usage_id) AS BIGINT) AS num_tokens,
                 round(sum(CASE WHEN usage_id % 7 = 0 THEN 0.0 ELSE hours END), 6) AS generation_time FROM usage)""",
     ),
     "row_throughput": with_(
@@ -538,7 +538,7 @@ ORACLES: dict[str, str] = {
     "review_samples": with_("turns_unified", "sampled", body="SELECT *, CAST(0.7 AS DOUBLE) AS temperature FROM sampled"),
     "loss_scoring": with_(
         "unified",
-        body=f"""SELECT round(exp(sum(loss * num_tokens) / sum(num_tokens)), 6) AS perplexity, sum(num_tokens) AS total_tokens
+        body=f"""SELECT round(exp(sum(loss * num_tokens) / sum(num_tokens)), 6) AS perplexity, CAST(sum(num_tokens) AS BIGINT) AS total_tokens
             FROM (SELECT length(text) % 7 AS loss, least(len({toks('text')}), 2048) AS num_tokens
                 FROM (SELECT {TEXTS['llama3']['train']} AS text FROM unified))""",
     ),

@@ -98,7 +98,7 @@ def review_json_readback(spark: SparkSession, sf: str) -> DataFrame:
     )
     table = spark.read.schema(schema).json(path)
     return table.select(
-        "sample_id", "prompt", "reference", "generated", "rating", "notes",
+        "sample_id", "prompt", "reference", "generated", F.col("rating").isNull().alias("unrated"), "notes",
         F.col("metadata.index").alias("source_row"), F.col("metadata.temperature").alias("temperature"),
     )
 
