@@ -85,39 +85,42 @@ def _segments(pdf: pd.DataFrame) -> Iterator[tuple[int, int]]:
 
 
 def _chunk_records(rows: DataFrame) -> DataFrame:
-    """Each chunk's strict prefix minima: all that can matter to a state coming from before it."""
-    in_chunk = Window.partitionBy("run_id", "chunk").orderBy("step")
-    before = F.min("eval_loss").over(in_chunk.rowsBetween(Window.unboundedPreceding, -1))
-    place = F.row_number().over(in_chunk)
-    marked = rows.select("run_id", "chunk", "eval_loss", before.alias("_before"), place.alias("_place"))
-    is_record = F.col("_before").isNull() | (F.col("eval_loss") < F.col("_before"))
-    record = F.when(is_record, F.struct(F.col("_place").alias("place"), F.col("eval_loss").alias("loss")))
-    return marked.groupBy("run_id", "chunk").agg(
-        F.count("*").alias("n"), F.array_sort(F.collect_list(record)).alias("records")
-    ).select("run_id", "chunk", "n", F.col("records.place").alias("places"), F.col("records.loss").alias("losses"))
+    """Each chunk's strict prefix minima: all that can matter to a state coming from before it.
+
+    ``place`` is a row's position in its chunk and ``n`` the number of rows there.
+    """
+    chunk = Window.partitionBy("run_id", "chunk")
+    in_order = chunk.orderBy("step")
+    marked = rows.select(
+        "run_id",
+        "chunk",
+        "eval_loss",
+        F.min("eval_loss").over(in_order.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
+        F.row_number().over(in_order).alias("place"),
+        F.count("*").over(chunk).alias("n"),
+    )
+    return marked.where("_before IS NULL OR eval_loss < _before").drop("_before")
 
 
 def _walk_chunks(min_delta: float):
+    """State at the start of every chunk, from records in (run, chunk, place) order."""
+
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        run, best, wait = None, None, 0
+        at, best, wait = None, None, 0
         for pdf in batches:
-            best_in, wait_in = [], []
-            for row in pdf.itertuples(index=False):
-                if row.run_id != run:
-                    run, best, wait = row.run_id, None, 0
-                best_in.append(best)
-                wait_in.append(wait)
-                losses = np.asarray(row.losses, dtype=float)
-                hits = improve(losses, best, min_delta)
-                if len(hits):
-                    best = float(losses[hits[-1]])
-                    wait = int(row.n - row.places[hits[-1]])
-                else:
-                    wait += int(row.n)
-            out = pdf[["run_id", "chunk"]].copy()
-            out["best_in"] = pd.array(best_in, dtype="Float64")
-            out["wait_in"] = wait_in
-            yield out
+            starts = []
+            columns = (pdf[c].tolist() for c in ("run_id", "chunk", "eval_loss", "place", "n"))
+            for run, chunk, loss, place, n in zip(*columns):
+                if at != (run, chunk):
+                    if at is None or at[0] != run:
+                        best, wait = None, 0
+                    at = (run, chunk)
+                    starts.append((run, chunk, best, wait))
+                    wait += n
+                if best is None or loss < best - min_delta:
+                    best, wait = loss, n - place
+            out = pd.DataFrame(starts, columns=["run_id", "chunk", "best_in", "wait_in"])
+            yield out.astype({"best_in": "Float64", "wait_in": "int64"})
 
     return walk
 
@@ -167,12 +170,12 @@ def early_stopping_states(
 ) -> DataFrame:
     """State after every evaluation: ``(run_id, step, eval_loss, best_loss, wait_count, should_stop)``.
 
-    Between chunks only strict prefix minima travel: about ln(rows) per chunk of noisy losses.
-    They stream through the walk one batch at a time with a constant state.
+    Between chunks only strict prefix minima travel, about ln(rows) per chunk of noisy losses. They
+    stream through the walk as plain rows, with a constant state.
     """
     run_type = events.schema["run_id"].dataType.simpleString()
     rows = chunked(events, chunk_steps)
-    ordered = _chunk_records(rows).repartition("run_id").sortWithinPartitions("run_id", "chunk")
+    ordered = _chunk_records(rows).repartition("run_id").sortWithinPartitions("run_id", "chunk", "place")
     carried = ordered.mapInPandas(
         _walk_chunks(min_delta), f"run_id {run_type}, chunk bigint, best_in double, wait_in bigint"
     )

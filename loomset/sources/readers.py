@@ -114,15 +114,18 @@ def read_split(spark: SparkSession, root: str, name: str, split: str = "train")
     return read_parquet(spark, f"{root.rstrip('/')}/{name}").where(F.col("split") == split).drop("split")
 
 
-def load(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
-    """Read by format name, else by file ending; anything unknown is taken as a JSON list."""
+def load(spark: SparkSession, path: str, fmt: str | None = None, **options) -> DataFrame:
+    """Read by format name, else by file ending; anything unknown is taken as a JSON list.
+
+    ``options`` go to the reader, e.g. ``schema`` for JSON or ``multi_line`` for CSV.
+    """
     endings = {".csv": "csv", ".jsonl": "jsonl", ".ndjson": "jsonl", ".parquet": "parquet"}
     name = path.rstrip("/").lower()
     chosen = fmt or next((f for end, f in endings.items() if name.endswith(end)), "json")
     readers = {"csv": read_csv, "jsonl": read_json_lines, "parquet": read_parquet, "json": read_json_array}
     if chosen not in readers:
         raise ValueError(f"Unknown source format: {chosen!r}. Available: {sorted(readers)}")
-    return readers[chosen](spark, path)
+    return readers[chosen](spark, path, **options)
 
 
 def read_registry(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
