@@ -30,6 +30,7 @@ def _show(job: Prepared) -> None:
     print(report_summary(job.reasons).first()["summary"])
     for row in split_sizes_of(job.rows).orderBy("split").collect():
         print(f"{row['split']}: {row['n']} samples")
+    job.release()
 
 
 def _prepare(spark: SparkSession, args: argparse.Namespace) -> None:

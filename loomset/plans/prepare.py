@@ -19,7 +19,7 @@ from loomset.operators.validate import (
     local_reason_counts,
     validate_all,
 )
-from loomset.session import materialize
+from loomset.session import drop_path, write_scratch
 from loomset.sources.readers import load, with_row_id
 from loomset.sources.sinks import write_splits
 
@@ -28,7 +28,12 @@ from loomset.sources.sinks import write_splits
 class Prepared:
     stats: DataFrame  # one row over the unified input
     reasons: DataFrame  # (reason, n); the null reason counts the kept rows
-    rows: DataFrame  # (row_id, text, split)
+    rows: DataFrame  # (row_id, text, split), read from the kept table
+    kept_path: str  # the kept table in shared scratch
+
+    def release(self) -> None:
+        """Delete the kept table once ``rows`` is no longer needed."""
+        drop_path(self.rows.sparkSession, self.kept_path)
 
 
 def prepare_dataset(
@@ -61,7 +66,9 @@ def prepare_dataset(
     profile = dataset_stats(flagged, *reason_counts).first()
     stat_names = [c for c in profile.asDict() if c != "_ok" and c not in LOCAL_REASONS]
 
-    kept = materialize(validate_all(unified, min_len, max_len), "kept")
+    valid = validate_all(unified, min_len, max_len)
+    kept_path = write_scratch(valid, "kept")
+    kept = spark.read.schema(valid.schema).parquet(kept_path)
     num_kept = kept.count()
     counts = {reason: profile[reason] for reason in LOCAL_REASONS}
     counts[DUPLICATE] = profile["_ok"] - num_kept
@@ -75,6 +82,7 @@ def prepare_dataset(
         stats=_one_row(spark, profile, stat_names),
         reasons=spark.createDataFrame([r for r in reasons if r[1]], "reason string, n bigint"),
         rows=rows,
+        kept_path=kept_path,
     )
 
 

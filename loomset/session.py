@@ -56,16 +56,20 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def write_scratch(df: DataFrame, label: str) -> str:
+    """Write ``df`` to shared scratch as parquet; returns the path."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return path
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to shared scratch as parquet and read it back.
+    """Write ``df`` to shared scratch and read it back.
 
     The lineage is cut by a table that outlives any executor, and later passes read only the
     columns they need.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(write_scratch(df, label))
 
 
 def drop_path(spark: SparkSession, path: str) -> None:
@@ -74,14 +78,6 @@ def drop_path(spark: SparkSession, path: str) -> None:
     jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
 
 
-def release(table: DataFrame) -> None:
-    """Delete the scratch folder behind a table returned by :func:`materialize`."""
-    root = scratch_root(table.sparkSession)
-    for folder in {name.rsplit("/", 1)[0] for name in table.inputFiles()}:
-        if root.split("://")[-1] in folder:
-            drop_path(table.sparkSession, folder)
-
-
 def join_lookup(
     big: DataFrame, lookup: DataFrame, on: list[str], how: str = "left", max_rows: int = BROADCAST_ROWS
 ) -> DataFrame:

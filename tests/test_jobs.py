@@ -1,11 +1,12 @@
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from loomset.plans.evaluate import evaluate_model, evaluate_texts
 from loomset.plans.prepare import prepare_dataset, prepare_training_set, split_sizes_of
-from loomset.session import materialize, release, scratch_root
+from loomset.session import materialize, scratch_root
 from workload.stub_model import echo_factory, length_loss_factory
 
 GOOD = [(f"instruction number {i}", "ctx" if i % 2 else "", f"the answer is {i}") for i in range(200)]
@@ -70,8 +71,8 @@ def test_evaluation_job(spark, tmp_path):
 
 def test_scratch_tables(spark, unified):
     table = materialize(unified(*GOOD), "trial")
-    folder = table.inputFiles()[0]
-    assert scratch_root(spark) in folder and table.count() == 200
-    release(table)
-    with pytest.raises(Exception):  # noqa: B017, PT011 - the files are gone
-        spark.read.parquet(folder.rsplit("/", 1)[0]).count()
+    assert scratch_root(spark) in table.inputFiles()[0] and table.count() == 200
+    job = prepare_dataset(spark, unified(*GOOD))
+    assert os.path.exists(job.kept_path)
+    job.release()
+    assert not os.path.exists(job.kept_path)

@@ -42,7 +42,7 @@ UNIFIED_COLUMNS = f"""doc_id AS row_id, {HEAD} AS instruction,
     substr(text, length({HEAD}) + 2) AS output"""
 
 VIEWS = {
-    "unified": f"unified AS (SELECT {UNIFIED_COLUMNS}, source FROM documents)",
+    "unified": f"unified AS (SELECT {UNIFIED_COLUMNS}, source, lang FROM documents)",
     "turns_unified": """turns_unified AS (
         SELECT * FROM (
             SELECT conv_id AS row_id,
@@ -251,7 +251,7 @@ ORACLES: dict[str, str] = {
     "csv_source": with_("unified", body=f"SELECT {ROWS} FROM unified"),
     "json_lines_source": with_("unified", body=f"SELECT {ROWS} FROM unified"),
     "parquet_source": with_("unified", body="SELECT row_id, instruction, '' AS input, output FROM unified"),
-    "named_split_scan": with_("unified", body=f"SELECT {ROWS} FROM unified WHERE row_id % 10 = 0"),
+    "named_split_scan": with_("unified", body=f"SELECT {ROWS} FROM unified WHERE lang = 'en'"),
     "split_sink_readback": with_(
         "unified",
         body=split_sql(f"(SELECT row_id, {TEXTS['mistral']['train']} AS text FROM unified)", "text", 0.1, 0.5, 42),
@@ -371,11 +371,10 @@ ORACLES: dict[str, str] = {
     "rouge_means": with_("pairs", "grams", "lcs", body=f"SELECT rouge_1, rouge_2, rouge_l FROM ({MEANS})"),
     "text_metrics": with_("pairs", "grams", "lcs", body=MEANS),
     "pair_alignment": with_("pairs", body="SELECT * FROM pairs"),
-    "unaligned_pairs": with_(
-        "pairs",
-        body="""SELECT pair_id, CASE WHEN pair_id % 3 = 0 THEN 'prediction' ELSE 'reference' END AS side
-            FROM pairs WHERE (pair_id % 3 = 0) <> (pair_id % 4 = 0)""",
-    ),
+    "unaligned_pairs": """SELECT conv_id AS pair_id, CASE WHEN answers > 0 THEN 'prediction' ELSE 'reference' END AS side
+        FROM (SELECT conv_id, count(*) FILTER (WHERE role = 'assistant') AS answers,
+                count(*) FILTER (WHERE role = 'user') AS questions FROM conversations GROUP BY conv_id)
+        WHERE (answers >= 1) <> (questions >= 2)""",
     "task_accuracy": with_(
         "pairs", "answers",
         body=f"SELECT round(avg(CASE WHEN {ACCURACY_HIT} THEN 1.0 ELSE 0.0 END), 6) AS accuracy, count(*) AS n FROM answers",
@@ -452,10 +451,10 @@ ORACLES: dict[str, str] = {
     "list_versions": with_("registry", body=f"{LATEST} WHERE name = 'purchase'"),
     "update_status": with_(
         "registry",
-        body="""SELECT seq, name, version, path, CASE WHEN version LIKE '%7' AND seq = min(seq) OVER (PARTITION BY name, version)
+        body="""SELECT seq, name, version, path, CASE WHEN seq = min(seq) OVER (PARTITION BY name, version)
             THEN 'archived' ELSE status END AS status, registered_at, eval_loss, accuracy FROM registry""",
     ),
-    "delete_versions": with_("registry", body=f"{LATEST} WHERE NOT (version LIKE '%7' AND name <> 'view')"),
+    "delete_versions": with_("registry", body=f"{LATEST} QUALIFY max(eval_loss) OVER (PARTITION BY name, version) <= 200"),
     "early_stopping": with_(
         "runs", "stopping",
         body="""SELECT run_id, count(*) AS num_evals, round(arg_max(best_loss, step), 6) AS best_loss,

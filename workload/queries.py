@@ -64,10 +64,9 @@ def parquet_source(spark: SparkSession, sf: str) -> DataFrame:
 
 def named_split_scan(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_path(spark, "named")
-    rows = views.unified(spark, sf)
-    part = F.when(F.col("row_id") % 10 == 0, "test").otherwise("train")
-    rows.withColumn("split", part).write.partitionBy("split").parquet(f"{root}/docs")
-    return readers.read_split(spark, root, "docs", "test")
+    rows = views.unified(spark, sf, F.col("lang").alias("split"))
+    rows.write.partitionBy("split").parquet(f"{root}/docs")
+    return readers.read_split(spark, root, "docs", "en")
 
 
 def split_sink_readback(spark: SparkSession, sf: str) -> DataFrame:
@@ -219,10 +218,9 @@ def pair_alignment(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def unaligned_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    rows = views.pairs(spark, sf)
-    left = rows.where("pair_id % 4 <> 0").select("pair_id", "prediction")
-    right = rows.where("pair_id % 3 <> 0").select("pair_id", "reference")
-    return evaluate.unaligned(left, right)
+    """Conversations with a first assistant turn against those with a second user turn."""
+    first_answer = views.nth_turn(spark, sf, "assistant", 1, "prediction")
+    return evaluate.unaligned(first_answer, views.nth_turn(spark, sf, "user", 2, "reference"))
 
 
 def task_accuracy(spark: SparkSession, sf: str) -> DataFrame:
@@ -286,8 +284,8 @@ def list_versions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _status_changes(spark: SparkSession, sf: str) -> DataFrame:
-    """Each (name, version) whose version ends in 7 is deployed, then archived."""
-    keys = views.registry(spark, sf).where("version LIKE '%7'").select("name", "version").distinct()
+    """Each (name, version) is deployed, then archived."""
+    keys = views.registry(spark, sf).select("name", "version").distinct()
     steps = F.array(
         F.struct(F.lit(1).alias("change_no"), F.lit("deployed").alias("status")),
         F.struct(F.lit(2).alias("change_no"), F.lit("archived").alias("status")),
@@ -301,7 +299,7 @@ def update_status(spark: SparkSession, sf: str) -> DataFrame:
 
 def delete_versions(spark: SparkSession, sf: str) -> DataFrame:
     rows = views.registry(spark, sf)
-    keys = rows.where("version LIKE '%7' AND name <> 'view'").select("name", "version").distinct()
+    keys = rows.where(F.col("metrics")["eval_loss"] > 200).select("name", "version").distinct()
     return _flat_registry(registry.delete_versions(rows, keys))
 
 

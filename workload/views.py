@@ -67,6 +67,13 @@ def turns(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "conversations")
 
 
+def nth_turn(spark: SparkSession, sf: str, role: str, n: int, name: str) -> DataFrame:
+    """Text of the n-th turn of a role, for the conversations that have one."""
+    w = Window.partitionBy("conv_id").orderBy("turn")
+    ranked = turns(spark, sf).where(F.col("role") == role).withColumn("_at", F.row_number().over(w))
+    return ranked.where(F.col("_at") == n).select(F.col("conv_id").alias("pair_id"), F.col("text").alias(name))
+
+
 def pairs(spark: SparkSession, sf: str) -> DataFrame:
     """First and second assistant turn of a conversation, where both exist."""
     w = Window.partitionBy("conv_id").orderBy("turn")
