@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from bisect import bisect_left
+from functools import reduce
 from itertools import accumulate
+from operator import or_
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -49,18 +51,23 @@ def hash_keys(df: DataFrame, row_id: str, seed: int) -> DataFrame:
     return df.select(F.col(row_id).alias("_id"), seeded_hash(row_id, seed).alias("_h"))
 
 
-def cut_point(keys: DataFrame, top: Histogram, rank: int) -> tuple[str, int]:
-    """``(hash, row id)`` of the row with this exact rank in hash order.
+def cut_points(keys: DataFrame, top: Histogram, ranks: list[int]) -> list[tuple[str, int]]:
+    """``(hash, row id)`` of the rows with these exact ranks in hash order.
 
     Counts per prefix narrow the search 65,536-fold per pass over the id column; only the last,
-    small bucket is read as rows. Nothing is sorted or shuffled but counts.
+    small buckets are read as rows, in one pass. Nothing is shuffled but counts.
     """
-    prefix, inner, size = top.locate(rank)
-    while size > SMALL_BUCKET and len(prefix) < 32:
-        prefix, inner, size = Histogram(keys, prefix).locate(inner)
-    rows = keys.where(F.col("_h").startswith(prefix)).orderBy("_h", "_id").limit(inner).collect()
-    last = max((r["_h"], r["_id"]) for r in rows)
-    return last
+    found = []
+    for rank in ranks:
+        prefix, inner, size = top.locate(rank)
+        while size > SMALL_BUCKET and len(prefix) < 32:
+            prefix, inner, size = Histogram(keys, prefix).locate(inner)
+        found.append((prefix, inner))
+    if not found:
+        return []
+    wanted = reduce(or_, [F.col("_h").startswith(prefix) for prefix, _ in found])
+    rows = sorted((r["_h"], r["_id"]) for r in keys.where(wanted).collect())
+    return [[row for row in rows if row[0].startswith(prefix)][inner - 1] for prefix, inner in found]
 
 
 def at_or_before(h: Column, row_id: Column, cut: tuple[str, int]) -> Column:

@@ -176,7 +176,7 @@ def review_samples(
     is_text = reference in dataset.columns and dataset.schema[reference].dataType.simpleString() == "string"
     ref = F.coalesce(F.col(reference), F.lit("")) if is_text else F.lit("")
     picked = seeded_sample(dataset, num_samples, seed, row_id).select(
-        F.col("sample_id").cast("bigint").alias("sample_id"),
+        "sample_id",
         F.col(row_id).alias("_index"),
         F.col(text).alias("prompt"),
         ref.alias("reference"),

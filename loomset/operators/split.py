@@ -12,7 +12,7 @@ from loomset.functions.ordering import (
     PREFIX,
     Histogram,
     at_or_before,
-    cut_point,
+    cut_points,
     hash_keys,
     rank_by_hash,
     seeded_hash,
@@ -80,10 +80,9 @@ def random_split(
     _, n_val, n_test = split_sizes(histogram.total, val, test)
     h, rid = seeded_hash(row_id, seed), F.col(row_id)
     split = F.lit("train")
-    if n_val:
-        split = F.when(at_or_before(h, rid, cut_point(keys, histogram, n_test + n_val)), "validation").otherwise(split)
-    if n_test:
-        split = F.when(at_or_before(h, rid, cut_point(keys, histogram, n_test)), "test").otherwise(split)
+    ends = [(name, end) for name, end, size in (("validation", n_test + n_val, n_val), ("test", n_test, n_test)) if size]
+    for (name, _), cut in zip(ends, cut_points(keys, histogram, [end for _, end in ends])):
+        split = F.when(at_or_before(h, rid, cut), name).otherwise(split)
     return df.withColumn("split", split)
 
 
@@ -149,10 +148,11 @@ def seeded_sample(df: DataFrame, n: int = 20, seed: int = 42, row_id: str = "row
     if n <= TOP_N_SAMPLE:
         picked = df.withColumn("_h", seeded_hash(row_id, seed)).orderBy("_h", row_id).limit(n)
         # At most TOP_N_SAMPLE rows reach this window.
-        numbered = picked.withColumn("sample_id", F.row_number().over(Window.orderBy("_h", row_id)))
-        return numbered.drop("_h")
+        place = F.row_number().over(Window.orderBy("_h", row_id)).cast("bigint")
+        return picked.withColumn("sample_id", place).drop("_h")
     keys = hash_keys(df, row_id, seed)
     histogram = Histogram(keys)
     if n < histogram.total:
-        df = df.where(at_or_before(seeded_hash(row_id, seed), F.col(row_id), cut_point(keys, histogram, n)))
+        (cut,) = cut_points(keys, histogram, [n])
+        df = df.where(at_or_before(seeded_hash(row_id, seed), F.col(row_id), cut))
     return rank_by_hash(df, row_id, seed, "sample_id")

@@ -46,16 +46,22 @@ def chunked(events: DataFrame, chunk_steps: int) -> DataFrame:
 def improve(losses: np.ndarray, best: float | None, min_delta: float) -> np.ndarray:
     """Positions that improve on ``best`` by more than ``min_delta``, in order.
 
-    Only a strict prefix minimum can improve, so the loop runs over those alone.
+    Only a strict prefix minimum can improve. Those fall steadily, so the next improvement is
+    found by bisection and the loop runs once per improvement.
     """
     if len(losses) == 0:
         return np.empty(0, dtype=np.int64)
     before = np.concatenate(([np.inf], np.minimum.accumulate(losses)[:-1]))
-    hits = []
-    for at in np.flatnonzero(losses < before):
-        if best is None or losses[at] < best - min_delta:
-            best = losses[at]
-            hits.append(at)
+    places = np.flatnonzero(losses < before)
+    falling = -losses[places]
+    hits, at = [], 0
+    while at < len(places):
+        if best is not None:
+            at += int(np.searchsorted(falling[at:], -(best - min_delta), side="right"))
+        if at < len(places):
+            best = losses[places[at]]
+            hits.append(places[at])
+            at += 1
     return np.asarray(hits, dtype=np.int64)
 
 
@@ -109,16 +115,21 @@ def _walk_chunks(min_delta: float):
         at, best, wait = None, None, 0
         for pdf in batches:
             starts = []
-            columns = (pdf[c].tolist() for c in ("run_id", "chunk", "eval_loss", "place", "n"))
-            for run, chunk, loss, place, n in zip(*columns):
-                if at != (run, chunk):
-                    if at is None or at[0] != run:
+            runs, chunks, losses, places, sizes = (
+                pdf[c].to_numpy() for c in ("run_id", "chunk", "eval_loss", "place", "n")
+            )
+            for start, end in _segments(pdf):
+                here = (runs[start], chunks[start])
+                if here != at:
+                    if at is None or at[0] != here[0]:
                         best, wait = None, 0
-                    at = (run, chunk)
-                    starts.append((run, chunk, best, wait))
-                    wait += n
-                if best is None or loss < best - min_delta:
-                    best, wait = loss, n - place
+                    at = here
+                    starts.append((*here, best, wait))
+                    wait += int(sizes[start])
+                hits = improve(losses[start:end], best, min_delta)
+                if len(hits):
+                    last = start + hits[-1]
+                    best, wait = float(losses[last]), int(sizes[last] - places[last])
             out = pd.DataFrame(starts, columns=["run_id", "chunk", "best_in", "wait_in"])
             yield out.astype({"best_in": "Float64", "wait_in": "int64"})
 

@@ -183,8 +183,7 @@ def stratified_split(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def seeded_sample(spark: SparkSession, sf: str) -> DataFrame:
-    picked = split.seeded_sample(views.unified(spark, sf), 200)
-    return picked.select(F.col("sample_id").cast("bigint").alias("sample_id"), *UNIFIED)
+    return split.seeded_sample(views.unified(spark, sf), 200).select("sample_id", *UNIFIED)
 
 
 # ------------------------------------------------------------------ metrics
