@@ -40,24 +40,35 @@ def chunked(events: DataFrame, chunk_steps: int) -> DataFrame:
     )
 
 
+def _nan_as_worst(rows: DataFrame) -> DataFrame:
+    """For ranking, a NaN loss counts as infinite."""
+    loss = F.when(F.isnan("eval_loss"), F.lit(float("inf"))).otherwise(F.col("eval_loss"))
+    return rows.withColumn("eval_loss", loss)
+
+
 # --------------------------------------------------------------------------- early stopping
 
 
 def improve(losses: np.ndarray, best: float | None, min_delta: float) -> np.ndarray:
     """Positions that improve on ``best`` by more than ``min_delta``, in order.
 
-    Only a strict prefix minimum can improve. Those fall steadily, so the next improvement is
-    found by bisection and the loop runs once per improvement.
+    Without a ``best`` the first loss improves. After that only a strict prefix minimum can. Those
+    fall steadily, so the next improvement is found by bisection and the loop runs once per
+    improvement. A NaN never improves on anything, and nothing improves on a NaN.
     """
     if len(losses) == 0:
         return np.empty(0, dtype=np.int64)
-    before = np.concatenate(([np.inf], np.minimum.accumulate(losses)[:-1]))
-    places = np.flatnonzero(losses < before)
+    hits = []
+    if best is None:
+        best = losses[0]
+        hits.append(0)
+    known = np.where(np.isnan(losses), np.inf, losses)
+    before = np.concatenate(([np.inf], np.minimum.accumulate(known)[:-1]))
+    places = np.flatnonzero(known < before)
     falling = -losses[places]
-    hits, at = [], 0
+    at = 0
     while at < len(places):
-        if best is not None:
-            at += int(np.searchsorted(falling[at:], -(best - min_delta), side="right"))
+        at += int(np.searchsorted(falling[at:], -(best - min_delta), side="right"))
         if at < len(places):
             best = losses[places[at]]
             hits.append(places[at])
@@ -124,14 +135,14 @@ def _walk_chunks(min_delta: float):
                     if at is None or at[0] != here[0]:
                         best, wait = None, 0
                     at = here
-                    starts.append((*here, best, wait))
+                    starts.append((*here, best, wait, best is not None))
                     wait += int(sizes[start])
                 hits = improve(losses[start:end], best, min_delta)
                 if len(hits):
                     last = start + hits[-1]
                     best, wait = float(losses[last]), int(sizes[last] - places[last])
-            out = pd.DataFrame(starts, columns=["run_id", "chunk", "best_in", "wait_in"])
-            yield out.astype({"best_in": "Float64", "wait_in": "int64"})
+            out = pd.DataFrame(starts, columns=["run_id", "chunk", "best_in", "wait_in", "started"])
+            yield out.astype({"best_in": "float64", "wait_in": "int64", "started": "bool"})
 
     return walk
 
@@ -146,10 +157,11 @@ def _finish_chunks(patience: int, min_delta: float):
             losses = pdf["eval_loss"].to_numpy(dtype=float, na_value=np.nan)
             best_in = pdf["best_in"].to_numpy(dtype=float, na_value=np.nan)
             wait_in = pdf["wait_in"].to_numpy(dtype=float, na_value=0)
+            started = pdf["started"].to_numpy(dtype=object)
             parts = []
             for start, end in _segments(pdf):
                 if marker[start]:
-                    best = None if np.isnan(best_in[start]) else float(best_in[start])
+                    best = float(best_in[start]) if started[start] else None
                     wait = int(wait_in[start])
                     start += 1
                 if start < end:
@@ -181,14 +193,14 @@ def early_stopping_states(
 ) -> DataFrame:
     """State after every evaluation: ``(run_id, step, eval_loss, best_loss, wait_count, should_stop)``.
 
-    Between chunks only strict prefix minima travel, about ln(rows) per chunk of noisy losses. They
+    A run that begins with a NaN has a null best loss. Between chunks only strict prefix minima travel, about ln(rows) per chunk of noisy losses. They
     stream through the walk as plain rows, with a constant state.
     """
     run_type = events.schema["run_id"].dataType.simpleString()
     rows = chunked(events, chunk_steps)
     ordered = _chunk_records(rows).repartition("run_id").sortWithinPartitions("run_id", "chunk", "place")
     carried = ordered.mapInPandas(
-        _walk_chunks(min_delta), f"run_id {run_type}, chunk bigint, best_in double, wait_in bigint"
+        _walk_chunks(min_delta), f"run_id {run_type}, chunk bigint, best_in double, wait_in bigint, started boolean"
     )
     return _with_carry(rows, carried).mapInPandas(
         _finish_chunks(patience, min_delta),
@@ -229,7 +241,7 @@ def checkpoint_path(save_dir: str, step: Column) -> Column:
 
 def top_checkpoints(events: DataFrame, top_k: int = TOP_K, save_dir: str = "checkpoints/best") -> DataFrame:
     """The ``top_k`` evaluations of each run by loss; the earlier wins a tie."""
-    kept = _top_per_run(chunked(events, CHUNK_STEPS), top_k)
+    kept = _top_per_run(_nan_as_worst(chunked(events, CHUNK_STEPS)), top_k)
     return kept.select("run_id", "rank", "step", "eval_loss", checkpoint_path(save_dir, F.col("step")).alias("path"))
 
 
@@ -296,7 +308,7 @@ def checkpoint_history(events: DataFrame, top_k: int = TOP_K, chunk_steps: int =
     Chunks hand on their ``top_k`` smallest losses, nothing else.
     """
     run_type = events.schema["run_id"].dataType.simpleString()
-    rows = chunked(events, chunk_steps)
+    rows = _nan_as_worst(chunked(events, chunk_steps))
     ordered = _chunk_smallest(rows, top_k).repartition("run_id").sortWithinPartitions("run_id", "chunk")
     carried = ordered.mapInPandas(_walk_smallest(top_k), f"run_id {run_type}, chunk bigint, kept_in array<double>")
     admitted = _with_carry(rows, carried).mapInPandas(

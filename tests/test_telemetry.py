@@ -38,6 +38,22 @@ def test_early_stopping_cases(spark):
     assert stop_of(spark, [0.5, None, 0.6, None, 0.7], patience=2) == (4, 2)
 
 
+@pytest.mark.parametrize("chunk_steps", [1, 3, 1 << 16])
+def test_nan_losses(spark, chunk_steps):
+    nan = float("nan")
+    runs = {"late": [0.5, nan, 0.4, nan, nan, 0.3, 0.2], "first": [nan, 0.5, 0.4, 0.3], "all": [nan, nan]}
+    rows = early_stopping_states(evals(spark, runs), 2, 0.001, chunk_steps).collect()
+    got = {(r["run_id"], r["step"]): repr((r["best_loss"], r["wait_count"], r["should_stop"])) for r in rows}
+    want = {
+        (run, i): repr((None if math.isnan(best) else best, wait, stop))
+        for run, losses in runs.items()
+        for i, (best, wait, stop) in enumerate(stopping(losses, 2, 0.001))
+    }
+    assert got == want
+    history = checkpoint_history(evals(spark, runs), 2, chunk_steps).where("run_id = 'late' AND admitted").collect()
+    assert {r["step"] for r in history} == {0, 1, 2, 5, 6}
+
+
 def random_runs(seed):
     rng = random.Random(seed)
     noisy = [round(rng.uniform(0, 1), 3) for _ in range(400)]
