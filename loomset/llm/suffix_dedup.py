@@ -35,11 +35,11 @@ from pyspark.sql import functions as F
 
 from loomset.llm.common import hint_small
 from loomset.llm.near_dedup import mix
-from loomset.session import materialize
+from loomset.session import drop_path, materialize, write_scratch
 
 LENGTH = 100
 GRAM = 24
-MOST_CONTEXTS = 2_048
+MOST_CONTEXTS = 16_384  # at most 2.9 MB of contexts, about 0.3 GB of arrays while they are sorted
 BLOCK = 1 << 20
 _SEED = 97
 _C = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
@@ -191,8 +191,38 @@ def expanded_intervals(symbols: np.ndarray, length: int) -> tuple[np.ndarray, np
     return order, np.cumsum(boundary) - 1
 
 
+def shared_stretches(contexts: list[bytes], docs: np.ndarray, lows: np.ndarray, length: int = LENGTH) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The stretches of ``contexts`` whose windows may be repeated in them: those whose first and last 64 bytes both are.
+
+    Keeps every repeated window, and spares the sorting of contexts that share little more than an anchor.
+    """
+    sizes = np.array([len(c) for c in contexts])
+    which = np.repeat(np.arange(len(contexts)), sizes)
+    hashed = _doubled(np.frombuffer(b"".join(contexts), np.uint8), _letters())[6]
+    ranked = np.sort(hashed)
+    twice = np.unique(ranked[1:][ranked[1:] == ranked[:-1]])
+    if not len(twice):
+        return [], docs[:0], lows[:0]
+    again = twice[np.minimum(np.searchsorted(twice, hashed), len(twice) - 1)] == hashed
+    n = len(hashed) - (length - 64)
+    windows = np.flatnonzero(again[:n] & again[length - 64 :] & (which[:n] == which[length - 1 : length - 1 + n]))
+    if not len(windows):
+        return [], docs[:0], lows[:0]
+    new = np.ones(len(windows), bool)
+    new[1:] = (windows[1:] != windows[:-1] + 1) | (which[windows[1:]] != which[windows[:-1]])
+    begun = np.flatnonzero(new)
+    first, last = windows[begun], windows[np.append(begun[1:], len(windows)) - 1]
+    of = which[first]
+    shift = first - (np.cumsum(sizes) - sizes)[of]
+    cut = [contexts[c][a : a + (z - f) + length] for c, a, f, z in zip(of.tolist(), shift.tolist(), first.tolist(), last.tolist(), strict=True)]
+    return cut, docs[of], lows[of] + shift
+
+
 def repeated_windows(contexts: list[bytes], docs: np.ndarray, lows: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(doc, start, end) of the spans that repeated windows cover, over whole contexts of the same anchors."""
+    contexts, docs, lows = shared_stretches(contexts, docs, lows, length)
+    if not contexts:
+        return docs, lows, lows
     sizes = np.array([len(c) for c in contexts])
     starts = np.concatenate([[0], np.cumsum(sizes + 1)])[:-1]
     symbols = np.zeros(int((sizes + 1).sum()), np.int16)
@@ -246,61 +276,75 @@ def _expand(length: int):
     return run
 
 
-def _cut_contexts(docs: DataFrame, wanted: DataFrame, text: str, length: int, hashed: bool) -> DataFrame:
-    """Contexts as bytes, or hashes of their windows, for ``wanted`` (doc_id, anchor, low, high)."""
-    lists = materialize(wanted.groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "low", "high")).alias("cuts")), "cuts")
-    total = lists.agg(F.coalesce(F.sum(F.size("cuts")), F.lit(0)).alias("n"), F.count("*").alias("d")).first()
-    joined = _texts(docs, text).join(hint_small(lists, total["n"] * 2 + total["d"] * 4, 8), "doc_id").select("doc_id", "text", "cuts")
+def _cut_contexts(docs: DataFrame, wanted: DataFrame, text: str, length: int) -> DataFrame:
+    """(anchor, doc_id, low, crowded, bytes): the contexts of ``wanted`` (doc_id, anchor, low, high, crowded)."""
+    lists = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "low", "high", "crowded")).alias("cuts"))
+    joined = _texts(docs, text).join(lists, "doc_id").select("doc_id", "text", "cuts")
+    types = [("anchor", pa.int64()), ("doc_id", pa.int64()), ("low", pa.int32()), ("crowded", pa.bool_()), ("bytes", pa.binary())]
 
     def run(batches):
-        letters = _letters()
         for batch in batches:
-            rows, size = [], 0
+            rows = []
             for doc_id, value, cuts in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 data = (value or "").encode("utf-8", "surrogatepass")
                 for c in cuts:
                     part = data[c["low"] : c["high"] + length]
-                    if len(part) < length:
-                        continue
-                    if hashed:
-                        d = _doubled(np.frombuffer(part, np.uint8), letters)
-                        one, two = _window_hash(d, length, 6).view(np.int64), _window_hash(d, length, 2).view(np.int64)
-                        rows += [(x, y, doc_id, c["low"] + i) for i, (x, y) in enumerate(zip(one.tolist(), two.tolist(), strict=True))]
-                    else:
-                        rows.append((c["anchor"], doc_id, c["low"], part))
-                    size += 200
-                if size >= BLOCK:
-                    yield _batch(rows, hashed)
-                    rows, size = [], 0
+                    if len(part) >= length:
+                        rows.append((c["anchor"], doc_id, c["low"], c["crowded"], part))
+                if len(rows) >= 4096:
+                    yield _batch(rows, types)
+                    rows = []
+            if rows:
+                yield _batch(rows, types)
+
+    return joined.mapInArrow(run, "anchor long, doc_id long, low int, crowded boolean, bytes binary")
+
+
+def _hashed_windows(contexts: DataFrame, length: int) -> DataFrame:
+    """(h1, h2, doc_id, at): 128-bit hashes of the windows of ``contexts`` (doc_id, low, bytes)."""
+    types = [("h1", pa.int64()), ("h2", pa.int64()), ("doc_id", pa.int64()), ("at", pa.int32())]
+
+    def run(batches):
+        letters = _letters()
+        for batch in batches:
+            rows = []
+            for doc_id, low, part in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                d = _doubled(np.frombuffer(part, np.uint8), letters)
+                one, two = _window_hash(d, length, 6).view(np.int64), _window_hash(d, length, 2).view(np.int64)
+                rows += [(x, y, doc_id, low + i) for i, (x, y) in enumerate(zip(one.tolist(), two.tolist(), strict=True))]
             if rows:
-                yield _batch(rows, hashed)
+                yield _batch(rows, types)
 
-    return joined.mapInArrow(run, "h1 long, h2 long, doc_id long, at int" if hashed else "anchor long, doc_id long, low int, bytes binary")
+    return contexts.select("doc_id", "low", "bytes").mapInArrow(run, "h1 long, h2 long, doc_id long, at int")
 
 
-def _batch(rows: list[tuple], hashed: bool) -> pa.RecordBatch:
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.int32()] if hashed else [pa.int64(), pa.int64(), pa.int32(), pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], ["h1", "h2", "doc_id", "at"] if hashed else ["anchor", "doc_id", "low", "bytes"])
+def _batch(rows: list[tuple], types: list[tuple[str, pa.DataType]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*rows, strict=True), types, strict=True)], [n for n, _ in types])
 
 
 def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH, gram: int = GRAM, most_contexts: int = MOST_CONTEXTS) -> DataFrame:
     """(doc_id, spans): disjoint sorted (start, end) byte ranges to remove, for documents that have some."""
-    found = materialize(find_runs(docs, text, length, gram), "runs")
+    spark = docs.sparkSession
+    found_at = write_scratch(find_runs(docs, text, length, gram), "runs")
+    found = spark.read.parquet(found_at)
     repeated = found.groupBy("anchor").agg(F.sum("n").alias("total")).where("total > 1").select("anchor")
-    rows = materialize(found.join(repeated, "anchor"), "repeated_runs")
+    rows_at = write_scratch(found.join(repeated, "anchor"), "repeated_runs")
+    drop_path(spark, found_at)  # a written table replaces it; the same below
+    rows = spark.read.parquet(rows_at)
     firsts = rows.groupBy("anchor", "content").agg(F.min("doc_id").alias("first"))
-    marked = materialize(rows.join(firsts, ["anchor", "content"]), "marked_runs")
+    marked = materialize(rows.join(firsts, ["anchor", "content"]).drop("content"), "marked_runs")
+    drop_path(spark, rows_at)
     whole = marked.where("doc_id > first").select("doc_id", F.col("low").alias("start"), (F.col("high") + length).alias("end"))
     lead = marked.where("doc_id = first").select("anchor", "doc_id", "low", "high", "n")
     crowd = lead.groupBy("anchor").agg(F.sum("n").alias("count")).where("count > 1")
-    open_ = materialize(lead.join(crowd, "anchor"), "open_runs")
+    open_ = lead.join(crowd, "anchor").withColumn("crowded", F.col("count") > most_contexts)
 
-    normal = _cut_contexts(docs, open_.where(F.col("count") <= most_contexts), text, length, False)
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = normal.repartition(parts, "anchor").sortWithinPartitions("anchor", "doc_id", "low").select("anchor", "doc_id", "low", "bytes")
-    inner = dealt.mapInArrow(_expand(length), _SPANS)
+    contexts = materialize(_cut_contexts(docs, open_, text, length), "contexts")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    normal = contexts.where("NOT crowded").select("anchor", "doc_id", "low", "bytes")
+    inner = normal.repartition(parts, "anchor").sortWithinPartitions("anchor", "doc_id", "low").mapInArrow(_expand(length), _SPANS)
 
-    hot = materialize(_cut_contexts(docs, open_.where(F.col("count") > most_contexts), text, length, True), "hot_windows")
+    hot = materialize(_hashed_windows(contexts.where("crowded"), length), "hot_windows")
     groups = hot.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
     same = materialize(hot.join(groups, ["h1", "h2"]), "hot_repeats")
     place = same.where("doc_id = first").groupBy("h1", "h2").agg(F.min("at").alias("first_at"))
