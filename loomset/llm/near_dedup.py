@@ -189,7 +189,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", similarity: float = SIM
     named = signed.where("doc_id IS NOT NULL AND n_shingles > 0")
     nodes = named.groupBy("s1", "s2").agg(F.min("doc_id").alias("id"))
     # (key, id) once for each node; a copy's row differs from its node's only in doc_id
-    own = signed.join(nodes, ["s1", "s2"], "left").select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("id")).alias("id"), "keys", "bits")
+    own = signed.join(nodes, ["s1", "s2"], "left").select("doc_id", "n_shingles", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("id")).alias("id"), "keys", "bits")
     first = F.col("id") == F.col("doc_id")
     own = materialize(own.withColumn("keys", F.when(first, F.col("keys"))).withColumn("bits", F.when(first, F.col("bits"))), "nodes")
     bands_of = own.where("keys IS NOT NULL").select("id", F.col("n_shingles").alias("n"), F.explode("keys").alias("key"))
