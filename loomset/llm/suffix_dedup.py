@@ -242,6 +242,8 @@ def repeated_windows(contexts: list[bytes], docs: np.ndarray, lows: np.ndarray,
     head = np.flatnonzero(new)[np.cumsum(new) - 1]
     again = (d != d[head]) | (a != a[head])
     d, a = d[again], a[again]
+    if not len(d):
+        return d, a, a
     rank = np.lexsort((a, d))
     d, a = d[rank], a[rank]
     new = np.ones(len(d), bool)
