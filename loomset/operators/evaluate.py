@@ -91,21 +91,25 @@ def text_metrics(pairs: DataFrame) -> DataFrame:
 def task_accuracy(
     answers: DataFrame, generated: str = "generated_text", expected: str = "expected", strict: bool = False
 ) -> DataFrame:
-    """Share of rows whose generation and label contain one another (or are equal, if strict)."""
+    """Share of rows whose generation and label contain one another (or are equal, if strict).
+
+    A row without generation or label is a miss.
+    """
     g, e = F.lower(py_strip(F.col(generated))), F.lower(py_strip(F.col(expected)))
     hit = (g == e) if strict else (F.contains(g, e) | F.contains(e, g))
-    return answers.agg(F.coalesce(F.avg(hit.cast("double")), F.lit(0.0)).alias("accuracy"), F.count("*").alias("n"))
+    return answers.agg(F.coalesce(F.avg(F.coalesce(hit, F.lit(False)).cast("double")), F.lit(0.0)).alias("accuracy"), F.count("*").alias("n"))
 
 
 def perplexity(scored: DataFrame, by: tuple[str, ...] = ("run",)) -> DataFrame:
     """Token-weighted perplexity per group from ``(loss, num_tokens)`` rows.
 
-    Works on a batch or streaming table; partial sums are formed before the shuffle.
+    Works on a batch or streaming table; partial sums are formed before the shuffle. A row without a
+    loss adds neither loss nor tokens.
     """
     grouped = scored.groupBy(*by) if by else scored.groupBy()
     sums = grouped.agg(
         F.sum(F.col("loss") * F.col("num_tokens")).alias("_loss"),
-        F.coalesce(F.sum("num_tokens"), F.lit(0)).alias("total_tokens"),
+        F.coalesce(F.sum(F.when(F.col("loss").isNotNull(), F.col("num_tokens"))), F.lit(0)).alias("total_tokens"),
     )
     mean = F.when(F.col("total_tokens") > 0, F.col("_loss") / F.col("total_tokens"))
     value = F.when(mean < MAX_MEAN_LOSS, F.exp(mean)).otherwise(F.lit(float("inf")))

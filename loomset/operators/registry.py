@@ -49,9 +49,9 @@ def latest_versions(registry: DataFrame, name: str | None = None) -> DataFrame:
 
 
 def best_versions(registry: DataFrame, metric: str = "eval_loss", name: str | None = None) -> DataFrame:
-    """Best version per model among those that have the metric; the earlier wins a tie."""
+    """Best version per model among those whose metric is a number; the earlier wins a tie."""
     value = F.col("metrics")[metric]
-    rows = list_models(registry, name).where(F.map_contains_key("metrics", metric))
+    rows = list_models(registry, name).where(value.isNotNull() & ~F.isnan(value))
     return _first_by(rows, F.asc(value) if metric in LOWER_IS_BETTER else F.desc(value), F.asc("seq"))
 
 

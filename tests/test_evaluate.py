@@ -109,3 +109,13 @@ def test_perplexity(spark):
     assert got["a"] == pytest.approx(math.exp(2)) and got["b"] == pytest.approx(math.exp(3))
     assert got["c"] == got["d"] == math.inf
     assert evaluate.perplexity(df.where("false"), ()).first()["perplexity"] == math.inf
+
+
+def test_rows_without_values_do_not_count(spark):
+    from loomset.operators.evaluate import perplexity, task_accuracy
+
+    answers = spark.createDataFrame([("a", "a"), ("b", None), ("c", "x")], "generated_text string, expected string")
+    assert [tuple(r) for r in task_accuracy(answers).select(*["n"], "accuracy").collect()] == [(3, 1 / 3)]
+    scored = spark.createDataFrame([("r", 2.0, 2), ("r", None, 2)], "run string, loss double, num_tokens long")
+    row = perplexity(scored).first()
+    assert abs(row["perplexity"] - 7.38905609893065) < 1e-9 and row["total_tokens"] == 2

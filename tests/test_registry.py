@@ -83,3 +83,11 @@ def test_list_file(spark, tmp_path):
     path.write_text("not json")
     broken = readers.read_registry(spark, str(path), multi_line=True)
     assert readers.healthy(broken).count() == 0 and readers.quarantined(broken).count() == 1
+
+
+def test_a_version_without_a_number_is_never_best(spark):
+    from loomset.operators.registry import best_versions
+
+    schema = "seq long, name string, version string, metrics map<string,double>"
+    rows = [(1, "m", "1", {"eval_loss": None}), (2, "m", "2", {"eval_loss": float("nan")}), (3, "m", "3", {"eval_loss": 0.5})]
+    assert [r["version"] for r in best_versions(spark.createDataFrame(rows, schema)).collect()] == ["3"]
