@@ -101,7 +101,7 @@ def row_positions(df: DataFrame, order: str, name: str, rows_per_bucket: int = 1
     """
     spark = df.sparkSession
     total = df.count()
-    parts = min(2_000, total // rows_per_bucket + 1)
+    parts = total // rows_per_bucket + 1
     cuts: list[float] = []
     if parts > 1:
         probabilities = [i / parts for i in range(1, parts)]

@@ -33,8 +33,11 @@ def py_round(c: Column, digits: int) -> Column:
 
 
 def fixed(c: Column, digits: int, signed: bool = False) -> Column:
-    """Text with a fixed number of decimals, as Python's ``:.2f``."""
-    return F.format_string(f"%{'+' if signed else ''}.{digits}f", py_round(c, digits))
+    """Text with a fixed number of decimals, as Python's ``:.2f``; infinities and NaN as it spells them."""
+    x, plus = c.cast("double"), "+" if signed else ""
+    endless = F.when(x > 0, f"{plus}inf").otherwise("-inf")
+    special = F.when(F.isnan(x), f"{plus}nan").when(F.abs(x) == float("inf"), endless)
+    return F.coalesce(special, F.format_string(f"%{plus}.{digits}f", py_round(x, digits)))
 
 
 def percent(rate: Column, digits: int = 1, signed: bool = False) -> Column:

@@ -86,7 +86,7 @@ def get_template(name: str) -> Template:
     try:
         return _REGISTRY[name.lower()]
     except KeyError:
-        raise ValueError(f"Unknown template: {name!r}. Available: {template_names()}") from None
+        raise ValueError(f"no template named {name!r}; known are {template_names()}") from None
 
 
 def register_template(name: str, template: Template) -> None:
@@ -97,7 +97,7 @@ def register_template(name: str, template: Template) -> None:
 def render(df: DataFrame, template: str, mode: str = "train", keep: tuple[str, ...] = ("row_id",)) -> DataFrame:
     """Project unified rows to ``(*keep, text)``; columns the table lacks count as ''."""
     if mode not in ("train", "inference"):
-        raise ValueError(f"Unknown mode: {mode!r}")
+        raise ValueError(f"no mode named {mode!r}; known are train and inference")
     build = get_template(template)
     columns = df.columns
     output = text_or_empty("output", columns) if mode == "train" else None

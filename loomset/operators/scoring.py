@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomset.operators.evaluate import task_accuracy, text_metrics
+from loomset.operators.evaluate import batch_ids, task_accuracy, text_metrics
 from loomset.operators.split import seeded_sample
 
 # prompts and options -> one (text, number of generated tokens) per prompt.
@@ -19,6 +19,10 @@ Generate = Callable[[list[str], dict], list[tuple[str, int]]]
 # Called once per Python worker; loads the model and returns the generate function.
 Factory = Callable[[], Generate]
 
+# Options that only matter when sampling, and the values at which others do nothing.
+SAMPLING_ONLY = ["temperature", "top_p", "top_k"]
+NEUTRAL = {"repetition_penalty": 1.0, "num_beams": 1}
+
 RESULT_FIELDS = [("generated_text", T.StringType()), ("num_tokens", T.LongType()), ("generation_time", T.DoubleType())]
 
 
@@ -35,18 +39,15 @@ class GenerationOptions:
     num_beams: int = 1
 
     def call_options(self, pad_token_id: int | None = None) -> dict:
-        """Only the options that apply: sampling fields when sampling, others when not neutral."""
-        always = {"max_new_tokens": self.max_new_tokens, "do_sample": self.do_sample, "pad_token_id": pad_token_id}
-        sampling = {"temperature": self.temperature, "top_p": self.top_p, "top_k": self.top_k}
-        extra = {
-            "repetition_penalty": (self.repetition_penalty, self.repetition_penalty != 1.0),
-            "num_beams": (self.num_beams, self.num_beams > 1),
-        }
-        return {
-            **always,
-            **(sampling if self.do_sample else {}),
-            **{name: value for name, (value, wanted) in extra.items() if wanted},
-        }
+        """The options a model is called with; those without effect stay out."""
+        options = asdict(self)
+        idle = [name for name, neutral in NEUTRAL.items() if options[name] == neutral]
+        if not self.do_sample:
+            idle += SAMPLING_ONLY
+        for name in idle:
+            del options[name]
+        options["pad_token_id"] = pad_token_id
+        return options
 
 
 GREEDY = GenerationOptions(do_sample=False, repetition_penalty=1.0)
@@ -100,29 +101,40 @@ def generate(
 
 
 def score_batches(
-    dataset: DataFrame, factory: Callable[[], Callable], text: str = "text", batch_size: int = 4, max_length: int = 2048
+    dataset: DataFrame,
+    factory: Callable[[], Callable],
+    text: str = "text",
+    batch_size: int = 4,
+    max_length: int = 2048,
+    order: str = "row_id",
 ) -> DataFrame:
     """``(loss, num_tokens)`` of every batch of texts, for :func:`evaluate.perplexity`.
 
-    ``factory()`` returns ``score(texts, max_length) -> (mean loss, tokens)``. Batches are formed
-    inside each task, so no row moves.
+    ``factory()`` returns ``score(texts, max_length) -> (mean loss, tokens)``. A batch is
+    ``batch_size`` consecutive rows by ``order`` (scan order where that column is missing), whatever
+    the partitions; its texts meet in one row.
     """
+    if batch_size < 1:
+        raise ValueError("batch_size must be at least 1")
+    position = F.col(order) if order in dataset.columns else F.monotonically_increasing_id()
+    numbered = batch_ids(dataset.select(position.alias("_row"), F.col(text).alias("text")), batch_size, "_row")
+    members = F.sort_array(F.collect_list(F.struct("_row", "text")))
+    whole = numbered.groupBy("batch_id").agg(members.alias("rows")).select(F.col("rows.text").alias("texts"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = None
         for batch in batches:
-            texts = batch.column(0).to_pylist()
             rows = []
-            for start in range(0, len(texts), batch_size):
+            for texts in batch.column(0).to_pylist():
                 if score is None:
                     score = factory()
-                rows.append(score(texts[start : start + batch_size], max_length))
+                rows.append(score(texts, max_length))
             losses, counts = ([row[k] for row in rows] for k in (0, 1))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(losses, pa.float64()), pa.array(counts, pa.int64())], names=["loss", "num_tokens"]
             )
 
-    return dataset.select(F.col(text).alias("text")).mapInArrow(run, "loss double, num_tokens bigint")
+    return whole.mapInArrow(run, "loss double, num_tokens bigint")
 
 
 def tokens_per_second(num_tokens="num_tokens", seconds="generation_time"):

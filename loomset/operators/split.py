@@ -27,16 +27,16 @@ TOP_N_SAMPLE = 10_000
 def check_ratios(train: float, val: float, test: float) -> None:
     total = train + val + test
     if abs(total - 1.0) > 1e-6:
-        raise ValueError(f"Split ratios must sum to 1.0, got {total:.4f} (train={train}, val={val}, test={test})")
+        raise ValueError(f"the shares {train}, {val} and {test} add up to {total:.4f} instead of 1")
     if min(train, val, test) < 0:
-        raise ValueError("Split ratios must be non-negative")
+        raise ValueError("a share below 0 is not possible")
     if train == 0:
-        raise ValueError("Training ratio must be greater than 0")
+        raise ValueError("the training share has to be above 0")
 
 
 def _check_size(n: int) -> None:
     if n < 3:
-        raise ValueError(f"Dataset too small to split: {n} samples (need at least 3)")
+        raise ValueError(f"a split takes 3 rows or more; the table has {n}")
 
 
 def split_sizes(n: int, val: float, test: float) -> tuple[int, int, int]:

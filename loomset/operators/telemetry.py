@@ -337,7 +337,7 @@ def progress_projection(joined: DataFrame, every: int) -> DataFrame:
     """Progress rows of events that already carry ``start_ts`` and ``total_steps``. Stateless."""
     step, total = F.col("step"), F.col("total_steps")
     elapsed = _seconds(F.col("ts"), F.col("start_ts"))
-    eta = F.when((step > 0) & (total > 0), elapsed / step * (total - step)).otherwise(F.lit(0.0))
+    eta = F.when((step > 0) & (total > 0), elapsed / step * (total - step)).when(total.isNotNull(), F.lit(0.0))
     optional = {
         "epoch": lambda c: py_round(c, 2).alias("epoch"),
         "loss": lambda c: py_round(c, 4).alias("loss"),

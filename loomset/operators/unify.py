@@ -37,7 +37,7 @@ def detect_format(columns: list[str]) -> str:
         if required <= present:
             return name
     raise ValueError(
-        f"Cannot auto-detect format from columns: {sorted(present)}. Supported formats: {list(FORMATS)}"
+        f"no known layout has the columns {sorted(present)}; known are {', '.join(FORMATS)}"
     )
 
 
@@ -47,7 +47,7 @@ def to_unified(df: DataFrame, fmt: str | None = None, keep: tuple[str, ...] = ("
     if name == "sharegpt":
         return _from_messages(df, keep)
     if name not in MAPPED:
-        raise ValueError(f"Unknown format: {name}")
+        raise ValueError(f"no layout named {name}")
     types = {f.name: f.dataType for f in df.schema.fields}
     columns = [
         (as_text(F.col(source), types[source]) if source in types else F.lit("")).alias(target)

@@ -33,7 +33,7 @@ def missing_columns(df: DataFrame) -> list[str]:
 def require_schema(df: DataFrame) -> None:
     missing = missing_columns(df)
     if missing:
-        raise ValueError(f"Dataset missing required columns: {missing}")
+        raise ValueError(f"validation needs the columns {missing}")
 
 
 def _with_stripped(df: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ CSV_MISSING = [
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
-_JSON_KINDS = {"{": "dict", '"': "str", "t": "bool", "f": "bool", "n": "NoneType"}
+_JSON_KINDS = {"{": "an object", '"': "a text", "t": "a truth value", "f": "a truth value", "n": "null"}
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -27,7 +27,7 @@ def _files(spark: SparkSession, path: str) -> list:
     """The file itself, or the data files of a folder."""
     hadoop_path, fs = _file_system(spark, path)
     if not fs.exists(hadoop_path):
-        raise FileNotFoundError(f"Dataset file not found: {path}")
+        raise FileNotFoundError(f"nothing to read at {path}")
     if fs.getFileStatus(hadoop_path).isFile():
         return [hadoop_path]
     inside = [s.getPath() for s in fs.listStatus(hadoop_path) if s.isFile()]
@@ -83,7 +83,7 @@ def read_json_array(spark: SparkSession, path: str, schema: T.StructType | str |
     for file in _files(spark, path):
         first = _first_character(spark, file)
         if first != "[":
-            raise ValueError(f"Expected JSON array, got {_JSON_KINDS.get(first, 'a number or no value')}")
+            raise ValueError(f"a JSON list is wanted, the file holds {_JSON_KINDS.get(first, 'a number or nothing')}")
     reader = spark.read.option("multiLine", True)
     return with_row_id((reader.schema(schema) if schema else reader).json(path))
 
@@ -124,7 +124,7 @@ def load(spark: SparkSession, path: str, fmt: str | None = None, **options) -> D
     chosen = fmt or next((f for end, f in endings.items() if name.endswith(end)), "json")
     readers = {"csv": read_csv, "jsonl": read_json_lines, "parquet": read_parquet, "json": read_json_array}
     if chosen not in readers:
-        raise ValueError(f"Unknown source format: {chosen!r}. Available: {sorted(readers)}")
+        raise ValueError(f"no source format named {chosen!r}; known are {sorted(readers)}")
     return readers[chosen](spark, path, **options)
 
 

@@ -47,6 +47,7 @@ def early_stopping_stream(
 def progress_stream(events: DataFrame, every: int, runs: DataFrame) -> DataFrame:
     """Progress rows of a stream, given the table of runs ``(run_id, start_ts, total_steps)``.
 
-    A stream-static join: the runs table is re-read per micro-batch and joined without state.
+    A stream-static join without state. Events of runs that ``runs`` lacks stay, without elapsed time,
+    total and time to go. ``runs`` is the table as it was when the stream was started.
     """
-    return progress_projection(events.join(runs, "run_id"), every)
+    return progress_projection(events.join(runs, "run_id", "left"), every)

@@ -63,3 +63,14 @@ def test_result_rows(spark):
     assert [(r["metric"], r["value"], r["num_samples"]) for r in rows] == [("perplexity", 2.0, 7)]
     with pytest.raises(TypeError):
         compare.add_models()
+
+
+def test_infinite_values_are_spelt_as_python_does(spark):
+    from loomset.functions.rounding import fixed, percent
+
+    values = [float("inf"), float("-inf"), float("nan"), 2.5, -0.125]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for signed in (False, True):
+        got = df.select(fixed(df.v, 2, signed), percent(df.v, 1, signed)).collect()
+        sign = "+" if signed else ""
+        assert [tuple(r) for r in got] == [(f"{v:{sign}.2f}", f"{v:{sign}.1%}") for v in values]

@@ -72,7 +72,18 @@ def test_loss_scoring(spark):
     def factory():
         return lambda texts, max_length: (2.0, sum(min(len(t), max_length) for t in texts))
 
-    df = spark.createDataFrame([("abc",), ("defgh",), ("x" * 50,)], "text string").coalesce(1)
+    df = spark.createDataFrame([(0, "abc"), (1, "defgh"), (2, "x" * 50)], "row_id int, text string")
     rows = score_batches(df, factory, batch_size=2, max_length=10)
     assert sorted(r["num_tokens"] for r in rows.collect()) == [8, 10]
     assert perplexity(rows, ()).first()["perplexity"] == pytest.approx(7.389056, rel=1e-6)
+
+
+def test_batches_do_not_depend_on_partitions(spark):
+    def factory():
+        return lambda texts, max_length: (float(len(texts[0])), len("".join(texts)))
+
+    rows = spark.createDataFrame([(i, "x" * (i * 7 % 11)) for i in range(50)], "row_id int, text string")
+    found = [sorted(tuple(r) for r in score_batches(rows.repartition(n), factory).collect()) for n in (1, 4, 7)]
+    texts = ["x" * (i * 7 % 11) for i in range(50)]
+    wanted = sorted((float(len(texts[i])), len("".join(texts[i : i + 4]))) for i in range(0, 50, 4))
+    assert found == [wanted] * 3

@@ -54,10 +54,10 @@ def test_special_ratios(spark):
 @pytest.mark.parametrize(
     "n, ratios, message",
     [
-        (10, (0.5, 0.2, 0.2), "must sum to 1.0"),
-        (10, (1.2, -0.1, -0.1), "non-negative"),
-        (10, (0.0, 0.5, 0.5), "greater than 0"),
-        (2, (0.9, 0.05, 0.05), "too small"),
+        (10, (0.5, 0.2, 0.2), "instead of 1"),
+        (10, (1.2, -0.1, -0.1), "below 0"),
+        (10, (0.0, 0.5, 0.5), "above 0"),
+        (2, (0.9, 0.05, 0.05), "3 rows or more"),
         (3, (0.9, 0.05, 0.05), "would be empty"),
     ],
 )

@@ -85,3 +85,12 @@ def test_costs(spark, tmp_path):
         assert r["total_cost_usd"] == round(price * r["hours"], 2)
         assert r["known_pricing"] == (r["instance_type"] in HOURLY_PRICES) and r["hourly_cost_usd"] == price
     assert drain(estimate_cost(stream_of(spark, df, tmp_path / "in")), "cost").count() == len(rows)
+
+
+def test_progress_keeps_events_of_unknown_runs(spark, tmp_path):
+    df = spark.sql(
+        "SELECT concat('r', id % 3) AS run_id, id AS step, timestamp_seconds(id) AS ts, 1.0D AS loss FROM range(30)"
+    )
+    got = drain(progress_stream(stream_of(spark, df, tmp_path / "in"), 5, run_bounds(df.where("run_id <> 'r2'"))), "progress")
+    rows = {r["step"]: (r["total_steps"], r["eta_s"]) for r in got.collect() if r["run_id"] == "r2"}
+    assert rows == {5: (None, None), 20: (None, None)}

@@ -20,9 +20,9 @@ def test_detection(columns, name):
 
 
 def test_unknown_layouts_raise(spark):
-    with pytest.raises(ValueError, match="Cannot auto-detect"):
+    with pytest.raises(ValueError, match="no known layout"):
         detect_format(["foo", "baz"])
-    with pytest.raises(ValueError, match="Unknown format"):
+    with pytest.raises(ValueError, match="no layout named"):
         to_unified(spark.createDataFrame([(0, "a")], "row_id int, instruction string"), "nonexistent")
 
 

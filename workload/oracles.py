@@ -538,8 +538,9 @@ ORACLES: dict[str, str] = {
     "loss_scoring": with_(
         "unified",
         body=f"""SELECT round(exp(sum(loss * num_tokens) / sum(num_tokens)), 6) AS perplexity, CAST(sum(num_tokens) AS BIGINT) AS total_tokens
-            FROM (SELECT length(text) % 7 AS loss, least(len({toks('text')}), 2048) AS num_tokens
-                FROM (SELECT {TEXTS['llama3']['train']} AS text FROM unified))""",
+            FROM (SELECT avg(length(text) % 7) AS loss, sum(least(len({toks('text')}), 2048)) AS num_tokens
+                FROM (SELECT {TEXTS['llama3']['train']} AS text, (row_number() OVER (ORDER BY row_id) - 1) // 4 AS batch FROM unified)
+                GROUP BY batch)""",
     ),
     "cost_estimate": with_(
         "usage",

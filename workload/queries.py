@@ -413,8 +413,7 @@ def review_samples(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def loss_scoring(spark: SparkSession, sf: str) -> DataFrame:
-    """Batches of one text each, so the result does not depend on where rows lie."""
-    rows = scoring.score_batches(render(views.unified(spark, sf), "llama3"), length_loss_factory, batch_size=1)
+    rows = scoring.score_batches(render(views.unified(spark, sf), "llama3"), length_loss_factory)
     return _rounded(evaluate.perplexity(rows, ()), "perplexity")
 
 
