@@ -9,11 +9,10 @@
 3. Bands of ``ROWS`` coordinates. A pair of similarity 0.75 misses all bands with probability
    (1 - 0.75^6)^60 < 1e-5; more similar pairs far less.
 4. Links. In every bucket each node is compared on its whole set with the bucket's smallest node, and
-   the links found are merged into components. In buckets that still hold several components the pairs
-   across components follow. A group of copies thus costs one comparison per member and bucket.
-   Before whole sets are compared, such a pair is looked at by ``BITS`` one-bit coordinates: at similarity
-   0.75 it agrees on 7/8 of them, and one that agrees on ``AGREE`` or fewer, 4.5 deviations below, is left
-   out (probability 1e-5). That spares the pairs of a passage which many otherwise different texts share.
+   the links found are merged into components. A group of copies thus costs one comparison per member
+   and bucket. Nodes of buckets that still hold several components are compared across components
+   where they share one of their rarest shingles, as every linked pair does. That loses nothing and spares
+   the pairs of a passage which many otherwise different texts share.
 5. Components by smallest-label propagation, with every step written to the shared folder.
 
 Texts that are null, empty or without words have an empty set and are linked with nothing. Rows without
@@ -27,7 +26,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomset.llm.common import hint_small
@@ -38,8 +37,6 @@ SIMILARITY = 0.75
 ROWS = 6
 BANDS = 60
 BINS = ROWS * BANDS
-BITS = 256
-AGREE = 200
 SEED = 20240229
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)  # finaliser of a public 64-bit mixer
 
@@ -109,16 +106,11 @@ def band_keys(values: np.ndarray, bands: int = BANDS) -> np.ndarray:
     return mix(key).view(np.int64)
 
 
-def one_bits(values: np.ndarray) -> np.ndarray:
-    """One bit of each of the first ``BITS`` coordinates, as 64-bit integers."""
-    return np.packbits((mix(values[:BITS]) & np.uint64(1)).astype(np.uint8)).view(np.int64)
-
-
 def _signed(with_sets: bool, bins: int, bands: int):
     def run(batches):
         shingler = Shingler()
         for batch in batches:
-            ids, n, s1, s2, sets, keys, bits = [], [], [], [], [], [], []
+            ids, n, s1, s2, sets, keys = [], [], [], [], [], []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 s = shingler(text)
                 d = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
@@ -129,17 +121,11 @@ def _signed(with_sets: bool, bins: int, bands: int):
                 if with_sets:
                     sets.append(s.view(np.int64))
                 elif len(s) and doc_id is not None:
-                    values = sketch(s, bins)
-                    keys.append(band_keys(values, bands))
-                    bits.append(one_bits(values))
+                    keys.append(band_keys(sketch(s, bins), bands))
                 else:
                     keys.append(np.empty(0, np.int64))
-                    bits.append(np.empty(0, np.int64))
             arrays = [pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(sets or keys, pa.list_(pa.int64()))]
             names = ["doc_id", "n_shingles", "s1", "s2", "sets" if with_sets else "keys"]
-            if not with_sets:
-                arrays.append(pa.array(bits, pa.list_(pa.int64())))
-                names.append("bits")
             yield pa.RecordBatch.from_arrays(arrays, names)
 
     return run
@@ -150,8 +136,8 @@ def _texts(docs: DataFrame, text: str) -> DataFrame:
 
 
 def signatures(docs: DataFrame, text: str = "text", bins: int = BINS, bands: int = BANDS) -> DataFrame:
-    """(doc_id, n_shingles, s1, s2, keys, bits): set size, set digest, band keys and one-bit coordinates of every row."""
-    return _texts(docs, text).mapInArrow(_signed(False, bins, bands), "doc_id long, n_shingles long, s1 long, s2 long, keys array<long>, bits array<long>")
+    """(doc_id, n_shingles, s1, s2, keys): set size, set digest and band keys of every row."""
+    return _texts(docs, text).mapInArrow(_signed(False, bins, bands), "doc_id long, n_shingles long, s1 long, s2 long, keys array<long>")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -165,6 +151,29 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
     return joined.where("linked").select("a", "b").distinct()
 
 
+def _across(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of ``nodes`` (id, n, c) of different components ``c`` that can reach ``percent``.
+
+    All nodes put their shingles in one order: those that no other component has, then rare before
+    frequent. The first shingle two linked nodes share lies so early in either list that enough others can
+    follow: among the first n - ceil(2p / (1 + p) n) + 1 of the smaller and n - ceil(p n) + 1 of the larger,
+    and with ceil(p / (1 + p) (n + m)) or more from there on in both.
+    """
+    each = nodes.join(sets, "id").select("id", "n", "c", F.explode("sets").alias("s"))
+    shared = each.groupBy("s").agg(F.count("*").alias("f"), F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("s", "f")
+    of = Window.partitionBy("id")
+    place = F.row_number().over(of.orderBy("f", "s")) + F.col("n") - F.count("*").over(of)
+    larger = F.expr(f"n - ({percent} * n + 99) div 100 + 1")
+    smaller = F.expr(f"n - ({2 * percent} * n + {99 + percent}) div {100 + percent} + 1")
+    placed = each.join(shared, "s").select("s", "id", "n", "c", place.alias("place"), smaller.alias("first"), larger.alias("all"))
+    early = materialize(placed.where("place <= `all`").select("s", "id", "n", "c", (F.col("n") - F.col("place") + 1).alias("left"), (F.col("place") <= F.col("first")).alias("first")), "early")
+    x, y = early.where("first").alias("x"), early.alias("y")
+    grows = F.struct("x.n", "x.id") < F.struct("y.n", "y.id")
+    fits = F.least("x.left", "y.left") * (100 + percent) >= (F.col("x.n") + F.col("y.n")) * percent
+    found = x.join(y, F.col("x.s") == F.col("y.s")).where((F.col("x.c") != F.col("y.c")) & grows & fits)
+    return found.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, component) for the ends of (a, b) edges: the smallest id that can be reached."""
     both = materialize(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
@@ -183,23 +192,19 @@ def components(edges: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, text: str = "text", similarity: float = SIMILARITY, bins: int = BINS, bands: int = BANDS) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest linked doc_id), kept."""
-    share = (1 + similarity) / 2
-    agree = AGREE if similarity == SIMILARITY else int(BITS * share - 4.5 * (BITS * share * (1 - share)) ** 0.5)
     signed = materialize(signatures(docs, text, bins, bands), "signed")
     named = signed.where("doc_id IS NOT NULL AND n_shingles > 0")
     nodes = named.groupBy("s1", "s2").agg(F.min("doc_id").alias("id"))
     # (key, id) once for each node; a copy's row differs from its node's only in doc_id
-    own = signed.join(nodes, ["s1", "s2"], "left").select("doc_id", "n_shingles", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("id")).alias("id"), "keys", "bits")
+    own = signed.join(nodes, ["s1", "s2"], "left").select("doc_id", "n_shingles", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("id")).alias("id"), "keys")
     first = F.col("id") == F.col("doc_id")
-    own = materialize(own.withColumn("keys", F.when(first, F.col("keys"))).withColumn("bits", F.when(first, F.col("bits"))), "nodes")
+    own = materialize(own.withColumn("keys", F.when(first, F.col("keys"))), "nodes")
     bands_of = own.where("keys IS NOT NULL").select("id", F.col("n_shingles").alias("n"), F.explode("keys").alias("key"))
     shared = bands_of.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub < last").select("key", "hub")
     buckets = materialize(bands_of.join(shared, "key").select("key", "id", "n", "hub"), "buckets")
 
-    fits = lambda x, y: (F.least(x, y) * 100 >= F.greatest(x, y) * round(similarity * 100))
-    members = buckets.select("id").distinct()
-    few = materialize(members, "members")
-    wanted = hint_small(few.withColumnRenamed("id", "doc_id"), few.count(), 16)
+    members = materialize(buckets.select("id").distinct(), "members")
+    wanted = hint_small(members.withColumnRenamed("id", "doc_id"), members.count(), 16)
     again = _texts(docs, text).join(wanted, "doc_id", "left_semi")
     sets = again.mapInArrow(_signed(True, bins, bands), "doc_id long, n_shingles long, s1 long, s2 long, sets array<long>")
     sets = materialize(sets.where("n_shingles > 0").select(F.col("doc_id").alias("id"), "sets"), "sets")
@@ -208,16 +213,10 @@ def near_duplicates(docs: DataFrame, text: str = "text", similarity: float = SIM
     merged = components(stars)
     labelled = buckets.join(merged.withColumnRenamed("component", "c"), "id", "left").withColumn("c", F.coalesce("c", "id"))
     split = labelled.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("key")
-    words = [F.get("bits", F.lit(i)).alias(f"w{i}") for i in range(BITS // 64)]
-    unsettled = labelled.join(split, "key", "left_semi").select("key", "id", "n", "c", "hub")
-    open_ = materialize(unsettled.join(own.where("bits IS NOT NULL").select("id", *words), "id"), "open")
-    x = open_.select("key", F.col("id").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"), "hub", *[F.col(f"w{i}").alias(f"x{i}") for i in range(BITS // 64)])
-    y = open_.select("key", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"), *[F.col(f"w{i}").alias(f"y{i}") for i in range(BITS // 64)])
-    differing = sum((F.bit_count(F.col(f"x{i}").bitwiseXOR(F.col(f"y{i}"))) for i in range(BITS // 64)), F.lit(0))
-    alike = differing < BITS - agree
-    across = x.join(y, "key").where((F.col("ca") < F.col("cb")) & fits(F.col("na"), F.col("nb")) & alike & (F.col("a") != F.col("hub")) & (F.col("b") != F.col("hub")))
-    rest = _verified(across.select("a", "b").distinct(), sets, similarity)
-    everything = components(stars.union(materialize(rest, "rest")))
+    unsettled = materialize(labelled.join(split, "key", "left_semi").select("id", "n", "c").distinct(), "unsettled")
+    across = materialize(_across(unsettled, sets, round(similarity * 100)), "across")
+    rest = materialize(_verified(across, sets, similarity), "rest")
+    everything = components(stars.union(rest))
 
     out = own.join(everything, "id", "left")
     component = F.coalesce("component", "id", "doc_id")
