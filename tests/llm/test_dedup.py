@@ -184,3 +184,26 @@ def test_block_tables_find_every_neighbour(spark):
     assert len(block_masks(3, 6)) == 20
     odd = spark.createDataFrame([(None, "x y"), (None, None), (4, "x y"), (4, "z")], "doc_id long, text string")
     assert fingerprint_digest(odd).count() == 4 and fingerprint_digest(odd.limit(0)).count() == 0
+
+
+def test_a_shared_passage_links_only_true_neighbours(spark):
+    import numpy as np
+
+    from loomset.llm.near_dedup import Shingler, near_duplicates
+
+    rng = random.Random(9)
+    passage = [f"p{i}" for i in range(60)]
+    texts = []
+    for i in range(40):
+        own = [f"w{rng.randrange(10**6)}" for _ in range(rng.randrange(2, 30))]
+        texts.append(" ".join(passage + own) if i % 2 else " ".join(own[:1] + passage + own[1:]))
+    sets = [Shingler()(t) for t in texts]
+    label = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            both = len(np.intersect1d(sets[a], sets[b]))
+            if both * 100 >= 75 * (len(sets[a]) + len(sets[b]) - both):
+                low, high = sorted((label[a], label[b]))
+                label = [low if x == high else x for x in label]
+    rows = near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert len(set(label)) > 1 and {r["doc_id"]: r["component_id"] for r in rows} == dict(enumerate(label))
