@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomset.session import join_lookup
+from loomset.functions.ordering import row_positions
+from loomset.session import join_lookup, materialize
 
 REGISTRY_SCHEMA = (
     "seq bigint, name string, version string, path string, "
@@ -23,10 +24,18 @@ LOWER_IS_BETTER = ("eval_loss", "train_loss", "perplexity", "loss")
 
 
 def register(registry: DataFrame, new: DataFrame, now: Column | None = None) -> DataFrame:
-    """The registry plus ``new`` rows ``(seq, name, version, path, metrics)``; duplicates allowed."""
+    """The registry plus ``new`` rows ``(name, version, path, metrics)``; duplicates allowed.
+
+    New rows are numbered on from the registry's largest ``seq``, in the order of their own ``seq`` if they
+    have that column, else in scan order.
+    """
+    last = registry.agg(F.max("seq")).first()[0]
+    if "seq" not in new.columns:
+        new = materialize(new.withColumn("seq", F.monotonically_increasing_id()), "registered")
+    new = row_positions(new, "seq", "_at")
     empty = F.create_map().cast("map<string,double>")
     added = new.select(
-        "seq",
+        (F.col("_at") + F.lit(0 if last is None else last + 1)).alias("seq"),
         "name",
         "version",
         "path",

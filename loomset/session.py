@@ -8,8 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A side is broadcast only after its rows were counted and found at or below this.
+# A side is broadcast only after its rows and bytes were measured and found at or below these.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 32 << 20
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 _LOCAL_SCRATCH_CONF = "spark.loomset.local.scratch"
@@ -83,12 +84,13 @@ def join_lookup(
 ) -> DataFrame:
     """Join a table with a lookup that is unique on ``on``.
 
-    The lookup is written out and counted. A small one is broadcast, so a key that owns a large
+    The lookup is written out, its rows counted and its bytes summed. A small one is broadcast, so a key that owns a large
     share of ``big`` costs no shuffle. A large one is joined by shuffle, where adaptive execution
     splits the partitions of hot keys (the lookup holds one row per key, so splitting ``big`` is
     enough).
     """
     table = materialize(lookup, "lookup")
-    if table.count() <= max_rows:
+    size = table.agg(F.count("*").alias("n"), F.sum(F.octet_length(F.to_json(F.struct(*table.columns)))).alias("bytes")).first()
+    if size["n"] <= max_rows and (size["bytes"] or 0) <= BROADCAST_BYTES:
         table = F.broadcast(table)
     return big.join(table, on, how)

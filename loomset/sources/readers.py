@@ -15,7 +15,6 @@ CSV_MISSING = [
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
-_JSON_KINDS = {"{": "an object", '"': "a text", "t": "a truth value", "f": "a truth value", "n": "null"}
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -34,23 +33,6 @@ def _files(spark: SparkSession, path: str) -> list:
     return [p for p in inside if not p.getName().startswith(("_", "."))]
 
 
-def _first_character(spark: SparkSession, hadoop_path) -> str:
-    """First non-blank character of a file; reads a few bytes."""
-    jvm = spark._jvm
-    conf = spark._jsc.hadoopConfiguration()
-    stream = hadoop_path.getFileSystem(conf).open(hadoop_path)
-    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(hadoop_path)
-    if codec is not None:
-        stream = codec.createInputStream(stream)
-    try:
-        byte = stream.read()
-        while byte in (0x20, 0x09, 0x0A, 0x0D, 0xEF, 0xBB, 0xBF):
-            byte = stream.read()
-    finally:
-        stream.close()
-    return chr(byte) if byte >= 0 else ""
-
-
 def with_row_id(df: DataFrame) -> DataFrame:
     """Adds ``row_id`` in scan order, for inputs without an id.
 
@@ -60,37 +42,67 @@ def with_row_id(df: DataFrame) -> DataFrame:
     return df if "row_id" in df.columns else df.withColumn("row_id", F.monotonically_increasing_id())
 
 
-def spread(df: DataFrame, key: str, parallelism: int | None = None) -> DataFrame:
-    """Give every core a share of an input with fewer scan partitions than cores.
+def _schema(spark: SparkSession, path: str, schema: T.StructType | str | None, quarantine: bool, **options) -> T.StructType:
+    """The given fields, else those found in the files; a broken file stops the search unless quarantined."""
+    if schema is None:
+        return spark.read.options(mode="DROPMALFORMED" if quarantine else "FAILFAST", **options).json(path).schema
+    return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
-    A table of any real size has more partitions than cores and is returned as it is. For a small
-    one, the always-true filter on a row counter keeps later filters above the shuffle, where all cores
-    share their work.
-    """
-    spark = df.sparkSession
-    wanted = parallelism or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= wanted:
-        return df
-    return df.repartition(wanted, key).where(F.monotonically_increasing_id() >= 0)
+
+def _parsed_lists(spark: SparkSession, path: str, schema: T.StructType, mode: str) -> DataFrame:
+    """(file, value, _whole, _list): each file's text, whether it is bracketed as a list, and its parsed rows."""
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
+    text = F.btrim("value", F.lit(" \t\r\n\ufeff"))
+    whole = text.startswith("[") & text.endswith("]")
+    rows = F.when(whole, F.from_json(text, T.ArrayType(schema), {"mode": mode}))
+    return files.withColumns({"_whole": whole, "_list": rows})
 
 
-def read_json_array(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
+def _parsed_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """(file, value, _row) of every line that is not blank; broken ones fill ``CORRUPT`` of ``_row``."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), "value").where(F.length(F.trim("value")) > 0)
+    fields = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    return lines.withColumn("_row", F.from_json("value", fields, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}))
+
+
+def read_json_array(
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None, quarantine: bool = False
+) -> DataFrame:
     """Files that each hold one JSON list of objects.
 
-    Such a file cannot be split: one task reads it. Pass a schema to avoid reading it twice, and
-    keep large data as JSON Lines or parquet.
+    A file that is no list, or a broken one, fails the job; with ``quarantine`` such files give no rows
+    here and are found by ``malformed_json``. A file without a byte has no rows. A file cannot be split: one task reads it. Pass a schema
+    to avoid reading it twice, and keep large data as JSON Lines or parquet.
     """
-    for file in _files(spark, path):
-        first = _first_character(spark, file)
-        if first != "[":
-            raise ValueError(f"a JSON list is wanted, the file holds {_JSON_KINDS.get(first, 'a number or nothing')}")
-    reader = spark.read.option("multiLine", True)
+    _files(spark, path)
+    fields = _schema(spark, path, schema, quarantine, multiLine=True)
+    files = _parsed_lists(spark, path, fields, "PERMISSIVE" if quarantine else "FAILFAST")
+    if not quarantine:
+        refusal = F.raise_error(F.concat(F.lit("a JSON list is wanted in "), "file"))
+        files = files.withColumn("_list", F.when(F.col("_whole"), F.col("_list")).otherwise(refusal))
+    return with_row_id(files.select(F.inline("_list")))
+
+
+def read_json_lines(
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None, quarantine: bool = False
+) -> DataFrame:
+    """One JSON object per line. A broken line fails the job; with ``quarantine`` it gives no row here
+    and is found by ``malformed_json``."""
+    _files(spark, path)
+    if quarantine:
+        fields = _schema(spark, path, schema, quarantine)
+        return with_row_id(_parsed_lines(spark, path, fields).where(F.col(f"_row.{CORRUPT}").isNull()).select("_row.*").drop(CORRUPT))
+    reader = spark.read.option("mode", "FAILFAST")
     return with_row_id((reader.schema(schema) if schema else reader).json(path))
 
 
-def read_json_lines(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
+def malformed_json(spark: SparkSession, path: str, schema: T.StructType | str, lists: bool = False) -> DataFrame:
+    """(file, value) of the lines, or with ``lists`` of the whole files, that readers with ``quarantine`` leave out."""
     _files(spark, path)
-    return with_row_id((spark.read.schema(schema) if schema else spark.read).json(path))
+    fields = _schema(spark, path, schema, True)
+    if lists:
+        return _parsed_lists(spark, path, fields, "PERMISSIVE").where(F.col("_list").isNull()).select("file", "value")
+    return _parsed_lines(spark, path, fields).where(F.col(f"_row.{CORRUPT}").isNotNull()).select("file", "value")
 
 
 def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
@@ -129,7 +141,7 @@ def load(spark: SparkSession, path: str, fmt: str | None = None, **options) -> D
 
 
 def read_registry(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """Registry rows; unknown keys are dropped, missing ones get their default.
+    """Registry rows; unknown keys are dropped, missing ones get their default, a missing ``seq`` one above all given.
 
     A line that does not parse keeps its text in ``_corrupt_record``. ``multi_line`` reads files
     that each hold one JSON list; there the whole file is the unit.
@@ -147,9 +159,11 @@ def read_registry(spark: SparkSession, path: str, multi_line: bool = False) -> D
         options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
         parsed = F.from_json("value", f"{REGISTRY_SCHEMA}, {CORRUPT} string", options)
         raw = lines.select(parsed.alias("_row")).select("_row.*")
+    last = raw.agg(F.max("seq")).first()[0]
+    unnumbered = F.monotonically_increasing_id() + F.lit(0 if last is None else last + 1)
     blank = F.lit("")
     return raw.select(
-        F.coalesce("seq", F.monotonically_increasing_id()).alias("seq"),
+        F.coalesce("seq", unnumbered).alias("seq"),
         F.coalesce("name", blank).alias("name"),
         F.coalesce("version", blank).alias("version"),
         F.coalesce("path", blank).alias("path"),

@@ -78,7 +78,7 @@ def test_one_run(spark, broadcast_rows, monkeypatch):
     assert [(r["best_loss"], r["wait_count"], r["should_stop"]) for r in states] == want
 
 
-def test_lookup_size_is_checked(spark):
+def test_lookup_size_is_checked(spark, monkeypatch):
     big = spark.range(100).withColumn("k", F.col("id") % 5)
     small = spark.range(5).select(F.col("id").alias("k"), F.col("id").alias("v"))
     assert "BroadcastHashJoin" in plan(join_lookup(big, small, ["k"]))
@@ -86,6 +86,8 @@ def test_lookup_size_is_checked(spark):
     try:
         assert "BroadcastHashJoin" in plan(join_lookup(big, small, ["k"], max_rows=5))
         assert "SortMergeJoin" in plan(join_lookup(big, small, ["k"], max_rows=4))
+        monkeypatch.setattr("loomset.session.BROADCAST_BYTES", 20)
+        assert "SortMergeJoin" in plan(join_lookup(big, small, ["k"], max_rows=5))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 

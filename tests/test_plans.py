@@ -7,8 +7,9 @@ from loomset.functions.templates import render
 from loomset.operators import cost, evaluate, registry, stats, telemetry, unify, validate
 from loomset.operators.split import random_split
 from loomset.session import materialize
-from loomset.sources.readers import read_split, spread
+from loomset.sources.readers import read_split
 from tests.conftest import plan
+from workload.queries import QUERIES
 
 
 def exchanges(df):
@@ -82,6 +83,6 @@ def test_top_k_is_cut_before_the_shuffle(table):
     assert "Window " not in plan(telemetry.best_checkpoint(events))
 
 
-def test_spread_only_touches_small_inputs(table):
-    assert exchanges(spread(table, "row_id", parallelism=1)) == 0
-    assert exchanges(spread(table, "row_id", parallelism=10_000).limit(1)) >= 1
+@pytest.mark.parametrize("name", ["template_alpaca_train", "unify_alpaca", "unify_nested_messages", "quality_filter"])
+def test_registered_row_queries_do_not_shuffle(spark, name):
+    assert exchanges(QUERIES[name](spark, "/root/testdata/sf0.001")) == 0

@@ -43,6 +43,12 @@ def test_register(spark):
     got = registry.register(table, new).orderBy("seq").collect()
     assert [(r["version"], r["status"]) for r in got] == [("v1", "registered")] * 2
     assert got[1]["metrics"] == {} and got[1]["timestamp"] is not None
+    assert [r["seq"] for r in got] == [0, 1]
+    again = registry.register(registry.register(table, new), new.drop("seq").union(new.drop("seq")))
+    assert sorted(r["seq"] for r in again.collect()) == [0, 1, 2, 3]
+    change = spark.createDataFrame([(1, "m", "v1", "deployed")], "change_no int, name string, version string, status string")
+    assert [r["seq"] for r in registry.update_status(again, change).where("status = 'deployed'").collect()] == [0]
+    assert [r["seq"] for r in registry.register(table.limit(0), new).collect()] == [0]
 
 
 def test_update_hits_the_first_and_delete_hits_all(spark):

@@ -13,14 +13,40 @@ def test_json_array(spark, tmp_path):
     assert [(r["instruction"], r["output"]) for r in rows] == [("a", "é"), ("b", "")]
     bad = tmp_path / "bad.json"
     bad.write_text('{"not": "a list"}')
-    with pytest.raises(ValueError, match="holds an object"):
-        readers.load(spark, str(bad))
+    with pytest.raises(Exception, match="a JSON list is wanted in .*bad.json"):
+        readers.load(spark, str(bad)).collect()
     with pytest.raises(FileNotFoundError):
         readers.load(spark, str(tmp_path / "absent.json"))
     with pytest.raises(ValueError, match="no source format"):
         readers.load(spark, str(good), "avro")
 
 
+BROKEN_LISTS = ['[{"a": 1}', '[{"a": 1}] tail', '{"a": 1}', '[{"a": }]', " \n"]
+
+
+@pytest.mark.parametrize("text", BROKEN_LISTS)
+def test_broken_json_list_fails_or_is_quarantined(spark, tmp_path, text):
+    (tmp_path / "good.json").write_text('\ufeff[{"a": 1}, {"a": 2}]\n', encoding="utf-8")
+    (tmp_path / "bad.json").write_text(text)
+    with pytest.raises(Exception, match="JSON list is wanted|MALFORMED|Malformed"):
+        readers.read_json_array(spark, str(tmp_path), "a bigint").collect()
+    got = readers.read_json_array(spark, str(tmp_path), "a bigint", quarantine=True)
+    assert sorted(r["a"] for r in got.collect()) == [1, 2]
+    left = readers.malformed_json(spark, str(tmp_path), "a bigint", lists=True).collect()
+    assert [(r["file"].endswith("bad.json"), r["value"]) for r in left] == [(True, text)]
+
+
+def test_broken_json_line_fails_or_is_quarantined(spark, tmp_path):
+    path = tmp_path / "x.jsonl"
+    path.write_text('{"a": 1}\n{"a": \n\n{"a": 2}\n{"a": "no number"}\n')
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
+        readers.read_json_lines(spark, str(path), "a bigint").collect()
+    got = readers.load(spark, str(path), schema="a bigint", quarantine=True)
+    assert sorted(r["a"] for r in got.collect()) == [1, 2] and got.columns == ["a", "row_id"] and got.count() == 2
+    left = readers.malformed_json(spark, str(path), "a bigint").collect()
+    assert sorted(r["value"] for r in left) == ['{"a": ', '{"a": "no number"}']
+
+
 def test_csv(spark, tmp_path):
     path = tmp_path / "data.csv"
     path.write_text('instruction,input,output\nSay hello,,Hello!\nSay bye,N/A,"Bye, ""you""\nall!"\n  padded  ,x,y\n')

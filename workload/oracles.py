@@ -435,7 +435,7 @@ ORACLES: dict[str, str] = {
     "registry_register": with_(
         "registry",
         body=f"""{LATEST} UNION ALL
-            SELECT seq + 10000000, name, 'v-next', path, status, TIMESTAMP '2025-01-01 00:00:00', eval_loss, accuracy FROM registry""",
+            SELECT max(seq) OVER () + row_number() OVER (ORDER BY seq), name, 'v-next', path, status, TIMESTAMP '2025-01-01 00:00:00', eval_loss, accuracy FROM registry""",
     ),
     "latest_versions": with_(
         "registry",

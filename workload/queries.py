@@ -262,7 +262,7 @@ def comparison_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 def registry_register(spark: SparkSession, sf: str) -> DataFrame:
     old = views.registry(spark, sf)
-    new = old.select((F.col("seq") + F.lit(10_000_000)).alias("seq"), "name", F.lit("v-next").alias("version"), "path", "metrics")
+    new = old.select("seq", "name", F.lit("v-next").alias("version"), "path", "metrics")
     return _flat_registry(registry.register(old, new, F.lit("2025-01-01 00:00:00").cast("timestamp")))
 
 

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomset.operators.cost import HOURLY_PRICES
-from loomset.sources.readers import spread
 
 INSTANCE_TYPES = [*HOURLY_PRICES, "ml.unlisted"]
 
@@ -17,7 +16,7 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 def unified(spark: SparkSession, sf: str, *extra: str) -> DataFrame:
     """Documents cut at the first full stop into instruction and output."""
-    docs = spread(table(spark, sf, "documents"), "doc_id")
+    docs = table(spark, sf, "documents")
     head = F.substring_index("text", ".", 1)
     kind = F.col("doc_id") % 3
     inp = F.when(kind == 0, F.col("source")).when(kind == 1, F.lit("")).otherwise(F.lit("  "))
