@@ -250,6 +250,17 @@ ORACLES: dict[str, str] = {
     "json_array_source": with_("unified", body=f"SELECT {ROWS} FROM unified"),
     "csv_source": with_("unified", body=f"SELECT {ROWS} FROM unified"),
     "json_lines_source": with_("unified", body=f"SELECT {ROWS} FROM unified"),
+    "json_array_quarantine": with_(
+        "unified",
+        body="""SELECT row_id, instruction, input, output, NULL::VARCHAR AS value FROM unified WHERE (row_id // 100) % 7 <> 3
+            UNION ALL SELECT NULL, NULL, NULL, NULL, '[' || string_agg(row_id::VARCHAR, ',' ORDER BY row_id)
+            FROM unified WHERE (row_id // 100) % 7 = 3 GROUP BY row_id // 100""",
+    ),
+    "json_lines_quarantine": with_(
+        "unified",
+        body="""SELECT row_id, instruction, input, output, NULL::VARCHAR AS value FROM unified WHERE row_id % 7 <> 3
+            UNION ALL SELECT NULL, NULL, NULL, NULL, '{"row_id":' || row_id || ',' FROM unified WHERE row_id % 7 = 3""",
+    ),
     "parquet_source": with_("unified", body="SELECT row_id, instruction, '' AS input, output FROM unified"),
     "named_split_scan": with_("unified", body=f"SELECT {ROWS} FROM unified WHERE lang = 'en'"),
     "split_sink_readback": with_(

@@ -56,6 +56,35 @@ def json_lines_source(spark: SparkSession, sf: str) -> DataFrame:
     return unify.to_unified(readers.read_json_lines(spark, path, schema))
 
 
+def _read_and_left(rows: DataFrame, left: DataFrame) -> DataFrame:
+    """Rows that were read, and the texts that were left out."""
+    return rows.select(*UNIFIED, F.lit(None).cast("string").alias("value")).unionByName(left.select("value"), allowMissingColumns=True)
+
+
+def json_array_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents as JSON list files of 100 records each; every seventh file holds ids and is not closed."""
+    record = F.to_json(F.struct(*UNIFIED))
+    broken = F.col("file") % 7 == 3
+    files = views.unified(spark, sf).withColumn("file", F.floor(F.col("row_id") / 100)).groupBy("file").agg(
+        F.collect_list(F.when(~broken, record)).alias("records"), F.sort_array(F.collect_list("row_id")).alias("ids")
+    )
+    value = F.when(broken, F.concat(F.lit("["), F.array_join("ids", ","))).otherwise(F.concat(F.lit("["), F.array_join("records", ","), F.lit("]")))
+    path = scratch_path(spark, "broken-arrays")
+    files.select(value.alias("value")).write.option("maxRecordsPerFile", 1).option("lineSep", " ").text(path)
+    schema = "row_id bigint, instruction string, input string, output string"
+    left = readers.malformed_json(spark, path, schema, lists=True).select(F.trim("value").alias("value"))
+    return _read_and_left(readers.read_json_array(spark, path, schema, quarantine=True), left)
+
+
+def json_lines_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents as JSON lines; every seventh line ends after its first field."""
+    line = F.when(F.col("row_id") % 7 == 3, F.format_string('{"row_id":%d,', "row_id")).otherwise(F.to_json(F.struct(*UNIFIED)))
+    path = scratch_path(spark, "broken-lines")
+    views.unified(spark, sf).select(line.alias("value")).write.text(path)
+    schema = "row_id bigint, instruction string, input string, output string"
+    return _read_and_left(readers.read_json_lines(spark, path, schema, quarantine=True), readers.malformed_json(spark, path, schema))
+
+
 def parquet_source(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "table") + ".parquet"
     views.oasst(spark, sf).write.parquet(path)
@@ -465,6 +494,8 @@ QUERIES: dict[str, Query] = {
     "json_array_source": json_array_source,
     "csv_source": csv_source,
     "json_lines_source": json_lines_source,
+    "json_array_quarantine": json_array_quarantine,
+    "json_lines_quarantine": json_lines_quarantine,
     "parquet_source": parquet_source,
     "named_split_scan": named_split_scan,
     "split_sink_readback": split_sink_readback,
