@@ -9,6 +9,11 @@ Patterns are written for the JVM so that they cost one linear pass: possessive r
 next character cannot belong to the repeated class, and look-behinds that skip starts inside a run a
 match would have begun earlier. They find the same spans as the plain forms.
 
+An account code may be written in groups, so words and numbers after it look like more of it. Its
+pattern therefore proposes only heads, with the run behind each, and the checksum is tested at every
+end of a group. The end at the length of the code's country wins, else the longest that passes; a code
+inside the one before it is dropped.
+
 Null text counts as empty and gives no spans. An empty table gives an empty table; repeated rows and
 null ids are scanned row by row; extra columns pass through, also when named like ours.
 """
@@ -19,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomset.llm.common import fresh, packed, unpacked
-from loomset.llm.spans import digits, listed, located, luhn, matches, mod97, replaced
+from loomset.llm.spans import SPAN, digits, listed, located, luhn, matches, mod97, replaced
 
 KINDS = ("email", "ip", "card", "phone", "iban", "ssn")
 BASE = KINDS[:4]
@@ -31,9 +36,18 @@ _PATTERN = {
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9]){11,}+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"(?<![A-Z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Z0-9])",
+    # Matches the head; group 1 is the run of a longest code, and one more character if it goes on.
+    "iban": r"(?<![A-Z0-9])(?=([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+[A-Z0-9]?))[A-Z]{2}[0-9]{2}",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
 }
+IBAN_CHARS = (15, 34)
+# Characters of an account code by country.
+_IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
 # Score before checks, gain of a passed checksum, gain of a context word.
 _SCORES = {
     "email": (0.9, 0.0, 0.1),
@@ -77,11 +91,43 @@ def _holds(kind: str, value: Column) -> Column:
         "ip": F.forall(F.split(value, r"\."), _small_part),
         "card": F.when(count.between(12, 19), luhn(number)).otherwise(False),
         "phone": count.between(9, 15),
-        "iban": mod97(F.regexp_replace(value, " ", "")),
         "ssn": ~F.substring(value, 1, 3).isin("000", "666") & ~value.startswith("9"),
     }[kind]
 
 
+def _account(window: Column) -> Column:
+    """The account code that ``window`` begins with, or null."""
+    country = F.substring(window, 1, 2)
+    usual = F.lit(None).cast("int")
+    for length, countries in _IBAN_LENGTHS.items():
+        usual = F.when(country.isin(*countries.split()), length).otherwise(usual)
+    ends = F.filter(
+        F.sequence(F.lit(IBAN_CHARS[0]), F.length(window)), lambda end: F.substring(window, end, F.lit(2)).rlike("^[A-Z0-9](?![A-Z0-9])")
+    )
+    bare = lambda value: F.regexp_replace(value, " ", "")
+    codes = F.filter(
+        F.transform(ends, lambda end: F.substring(window, F.lit(1), end)),
+        lambda v: F.when(F.length(bare(v)).between(*IBAN_CHARS), mod97(bare(v))).otherwise(False),
+    )
+    whole = F.filter(codes, lambda v: F.length(bare(v)) == usual)
+    return F.coalesce(F.get(whole, F.lit(0)), F.try_element_at(codes, F.lit(-1)))
+
+
+def _accounts(text: Column, windows: Column) -> Column:
+    """``windows``, the runs behind every head, as an array of ``SPAN`` of the confirmed codes."""
+    heads = located(text, _PATTERN["iban"], F.transform(windows, lambda w: F.substring(w, 1, 4)))
+    codes = F.zip_with(heads, F.transform(windows, _account), lambda s, value: F.struct(
+        s["start"].alias("start"), (s["start"] + F.length(value)).alias("end"), value.alias("value"),
+    ))
+    empty = F.array().cast(f"array<{SPAN}>")
+
+    def step(acc: Column, s: Column) -> Column:
+        inside = (F.size(acc) > 0) & (s["end"] <= F.try_element_at(acc, F.lit(-1))["end"])
+        return F.when(F.coalesce(inside, F.lit(False)), acc).otherwise(F.array_append(acc, s))
+
+    return F.aggregate(F.filter(codes, lambda s: s["value"].isNotNull()), empty, step)
+
+
 def find_pii(
     df: DataFrame, text: str = "text", spans: str = "pii", kinds: tuple[str, ...] = KINDS, min_score: float = MIN_SCORE
 ) -> DataFrame:
@@ -90,7 +136,7 @@ def find_pii(
     keep, names = packed(df)
     work = df.select(keep.alias(row), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias(body))
     for kind, column in zip(kinds, founds, strict=True):
-        work = work.withColumn(column, matches(F.col(body), _PATTERN[kind], _guard(F.col(body), kind)))
+        work = work.withColumn(column, matches(F.col(body), _PATTERN[kind], _guard(F.col(body), kind), int(kind == "iban")))
 
     def scored(kind: str, found: str) -> Column:
         prior, checked, nearby = _SCORES[kind]
@@ -105,7 +151,10 @@ def find_pii(
                 F.lit(KINDS.index(kind)).alias("rank"), F.round(F.least(value, F.lit(1.0)), 2).alias("score"),
             )
 
-        held = F.filter(located(F.col(body), _PATTERN[kind], F.col(found)), lambda s: _holds(kind, s["value"]))
+        if kind == "iban":
+            held = _accounts(F.col(body), F.col(found))
+        else:
+            held = F.filter(located(F.col(body), _PATTERN[kind], F.col(found)), lambda s: _holds(kind, s["value"]))
         out = F.transform(held, score)
         return out if kind in BASE else F.filter(out, lambda s: s["score"] >= min_score)
 

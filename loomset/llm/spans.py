@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 SPAN = "struct<start:int,end:int,value:string>"
 
 
-def matches(text: Column, pattern: str, guard: Column | None = None) -> Column:
-    """All leftmost, non-overlapping matches. ``guard`` is a cheap test that every match implies."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+def matches(text: Column, pattern: str, guard: Column | None = None, group: int = 0) -> Column:
+    """``group`` of all leftmost, non-overlapping matches. ``guard`` is a cheap test that every match implies."""
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
     return found if guard is None else F.when(guard, found).otherwise(F.array().cast("array<string>"))
 
 

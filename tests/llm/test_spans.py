@@ -91,6 +91,42 @@ def test_checksums_and_context(spark):
     assert found == {1: ["iban"], 2: [], 3: ["ssn"], 4: []}
 
 
+def plain_mod97(code):
+    return int("".join(str(int(c, 36)) for c in code[4:] + code[:4])) % 97 == 1
+
+
+def plain_ibans(text, lengths):
+    """Every head, every end of a group, the country's length first, else the longest; none inside another."""
+    out = []
+    for head in re.finditer(r"(?<![A-Z0-9])[A-Z]{2}[0-9]{2}", text):
+        at, ends = head.start(), []
+        for end in range(at + 15, len(text) + 1):
+            value, code = text[at:end], text[at:end].replace(" ", "")
+            if re.fullmatch(r"[A-Z0-9]{4}(\x20?[A-Z0-9])+", value) and 15 <= len(code) <= 34 and not re.match("[A-Z0-9]", text[end:]):
+                ends += [end] if plain_mod97(code) else []
+        usual = [e for e in ends if len(text[at:e].replace(" ", "")) == lengths.get(head[0][:2])]
+        if ends and not (out and (usual or ends[-1:])[0] <= out[-1][1]):
+            out.append((at, (usual or ends[-1:])[0]))
+    return out
+
+
+def test_account_codes_end_before_the_next_words(spark):
+    de, gb, no = "DE89370400440532013000", "GB82WEST12345698765432", "NO9386011117947"
+    grouped = "DE89 3704 0044 0532 0130 00"
+    after = ["", " The rest", " Please", " BIC COBADEFF", " 12 May", ". Next", "\n2024", f" {gb}", f" {gb} {no} 7", " " + "A1 " * 30, "X", " \U0001f600 9"]
+    texts = [f"{b}{code}{a}" for b in ("", "IBAN ", "\U0001f600 XY12 ", "AB12 CD34 ") for code in (de, gb, no, grouped, "ZZ" + "00" + "1" * 11) for a in after]
+    rng = random.Random(5)
+    pieces = [de, grouped, "FR14 2004 1010 0505 0001 3M02 606", no, " ", " ", "A", "7", "THE", "AB12", "x", "2024 "]
+    texts += ["".join(rng.choice(pieces) for _ in range(rng.randrange(2, 14))) for _ in range(200)]
+    lengths = {"DE": 22, "GB": 22, "NO": 15, "FR": 27}
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in find_pii(df, kinds=("iban",)).collect():
+        assert [(s["start"], s["end"]) for s in r["pii"]] == plain_ibans(r["text"], lengths), r
+    pairs = [(i, f"{code}{a}") for i, (code, a) in enumerate((c, a) for c in (de, gb, no, grouped) for a in after[:7])]
+    out = {r["doc_id"]: r["text"] for r in redact_pii(spark.createDataFrame(pairs, "doc_id long, text string")).collect()}
+    assert out == {i: "[IBAN]" + after[i % 7] for i, _ in pairs}
+
+
 def test_scans_keep_other_columns(spark):
     rows = [(1, "a@b.cc x", "en", "mine", "own"), (None, None, None, None, None), (1, "a@b.cc x", "en", "mine", "own")]
     df = spark.createDataFrame(rows, SCHEMA)
