@@ -157,6 +157,32 @@ def test_markov_models_tell_random_strings_apart(spark):
     assert right.agg(F.avg("r")).first()[0] > 0.97
 
 
+@pytest.mark.parametrize("marked", [0, 11, 2_000])
+def test_default_cut_finds_keys_of_every_alphabet(spark, marked):
+    """Models trained from documents whose marked keys are few, none or all of one alphabet."""
+    rng = random.Random(6)
+    digits, low = "0123456789", "abcdefghijklmnopqrstuvwxyz"
+    draw = lambda chars, n=32: "".join(rng.choice(chars) for _ in range(n))
+    parts = ["the", "ing", "ver", "tion", "lar", "men", "est", "con", "ra", "lic", "der", "ol"]
+    words = ["".join(rng.choice(parts) for _ in range(3)).capitalize()[rng.randrange(2):] for _ in range(3_000)]
+    texts = [" ".join(words[i : i + 30]) for i in range(0, 3_000, 30)] + [f"sum {draw(digits + 'abcdef', 40)} ." for _ in range(marked)]
+    model = train_models(labelled_samples(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")))
+    sets = [digits + "abcdef", digits + "ABCDEF", digits + low, digits + low.upper(), digits + low + low.upper(), digits + low + low.upper() + "+/"]
+    held = [(f"set{i}", f"x {draw(chars, n)} y") for i, chars in enumerate(sets) for n in (24, 32) for _ in range(100)]
+    held += [("ordinary", "x " + "-".join(rng.choice(words) for _ in range(4)) + f"-{rng.randrange(100)} y") for _ in range(200)]
+    rows = find_secrets(spark.createDataFrame(held, "kind string, text string"), model).collect()
+    found = {}
+    for r in rows:
+        found.setdefault(r["kind"], []).append(any(s["kind"] == "random" for s in r["secrets"]))
+    shares = {k: sum(v) / len(v) for k, v in found.items()}
+    assert shares.pop("ordinary") <= 0.02 and min(shares.values()) >= 0.97, shares
+
+
+def test_no_run_is_found_without_ordinary_samples(spark):
+    df = spark.createDataFrame([(1, "x9Kq2LmZ8vT4wYp7Bn3c5Rd6")], "doc_id long, text string")
+    assert find_secrets(df, train_models(labelled_samples(df.limit(0)))).first()["secrets"] == []
+
+
 @pytest.mark.parametrize("digest", [pii_digest, secrets_digest])
 def test_no_python_in_the_plan(spark, digest):
     df = spark.createDataFrame([(1, "x")], "doc_id long, text string")
