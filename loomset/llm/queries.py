@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomset.llm.bpe import token_digest
 from loomset.llm.decontaminate import contamination_digest
+from loomset.llm.fill_middle import fill_middle_digest
 from loomset.llm.fingerprints import fingerprint_digest
 from loomset.llm.mixing import mix
 from loomset.llm.near_dedup import near_duplicates
@@ -15,6 +18,7 @@ from loomset.llm.secrets import secrets_digest
 from loomset.llm.suffix_dedup import dedup_digest
 from loomset.llm.token_counts import rollup_history
 from loomset.llm.warc import archive_round_trip
+from loomset.llm.whitening import whitening_rows
 
 # Target weights of the mixing query and the last pipeline stage; values that are not listed weigh 1.
 WEIGHTS = {"domain": {"d0": 5, "d1": 3, "d2": 2}, "lang": {"en": 3}, "source": {}}
@@ -75,11 +79,24 @@ def op10_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_round_trip(table(spark, sf_dir, "pages"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening_rows(table(spark, sf_dir, "embeddings"))
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle_digest(table(spark, sf_dir, "documents"))
+
+
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digest(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_token_counts, op2_pii, op3_minhash_dedup, op4_substring_dedup, op5_quality,
         op6_simhash, op7_mixing, op8_secrets, op9_decontamination, op10_arc_to_warc,
+        op11_whitening, op12_fill_middle, op13_bpe,
     )
 }
 
@@ -184,4 +201,27 @@ plans AS (
 SELECT doc_id, domain, lang, source, n_tokens, (whole + (upto <= rest)::INT)::BIGINT AS epochs FROM placed WHERE whole + (upto <= rest)::INT > 0
 """
 
-ORACLES = {"op3_minhash_dedup": _OP3, "op7_mixing": _OP7, "op9_decontamination": _OP9}
+_OP12 = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u,
+    sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h
+  FROM documents
+), g AS (
+  SELECT doc_id, text, u, len(u) AS n, list_transform([1, 9, 17, 25], lambda i: ('0x' || substr(h, i, 8))::BIGINT) AS r FROM d
+), c AS (
+  SELECT *, least(r[1] % (n + 1), r[2] % (n + 1)) AS a, greatest(r[1] % (n + 1), r[2] % (n + 1)) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR r[3] % 100 >= 100 THEN 'plain'
+      WHEN r[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM g
+), p AS (
+  SELECT doc_id, n, form, text, coalesce(array_to_string(u[1:a], ''), '') AS x, coalesce(array_to_string(u[a + 1:b], ''), '') AS m,
+    coalesce(array_to_string(u[b + 1:], ''), '') AS s FROM c
+)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(x) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || x || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || x || '<M>' || m END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM p
+"""
+
+ORACLES = {"op3_minhash_dedup": _OP3, "op7_mixing": _OP7, "op9_decontamination": _OP9, "op12_fill_middle": _OP12}
