@@ -1,6 +1,6 @@
 """BPE encoding by speculation: longest matches are proposed, pairs verified, and only failures merged.
 
-1. Texts are cut at blanks, and every distinct piece is normalised and split into words by the tokenizer
+1. Texts are cut at ASCII white space, and every distinct piece is normalised and split into words by the tokenizer
    file's own normaliser and splitter.
 2. A word is proposed as its longest vocabulary entries from left to right.
 3. A proposal is the merge rules' own result exactly if every adjacent pair of its tokens is: merging the
@@ -22,7 +22,6 @@ an added column whose name is taken gets a trailing underscore.
 
 from __future__ import annotations
 
-import array
 import heapq
 import json
 import re
@@ -39,10 +38,13 @@ from pyspark.sql import types as T
 from loomset.llm.common import fresh
 
 MAX_FILE = 32 << 20
-# Pieces a task remembers, and characters it takes in before it hands rows on.
-_KNOWN = 300_000
+# Pieces or words a task remembers, and bytes of text it takes in before it hands rows on.
+_KNOWN = 250_000
 _CHARS = 1 << 21
+_SHORT = 64  # symbols up to which scanning beats a heap
+_HEAD = 3  # symbols that tell how long an entry can be
 _NEVER = np.iinfo(np.int64).max
+_NONE = 1 << 62
 
 
 class Vocabulary:
@@ -66,20 +68,34 @@ class Vocabulary:
         size = max(self.ids.values()) + 1
         self.left, self.right = np.full(size, -1, np.int64), np.full(size, -1, np.int64)
         self.rank = np.full(size, -1, np.int64)
-        self.pairs: dict[tuple[int, int], tuple[int, int]] = {}
+        self.ranks: dict[tuple[int, int], int] = {}
+        self.wholes: list[int] = []
         for rank, merge in enumerate(model["merges"]):
             a, b = merge.split(" ") if isinstance(merge, str) else merge
             a_id, b_id, whole = self.ids[a], self.ids[b], self.ids[a + b]
             if self.rank[whole] >= 0:
                 raise ValueError(f"two merges give {a + b!r}")
             self.left[whole], self.right[whole], self.rank[whole] = a_id, b_id, rank
-            self.pairs[a_id, b_id] = (rank, whole)
-        keys = np.array([a * size + b for a, b in self.pairs], np.int64)
+            self.ranks[a_id, b_id] = rank
+            self.wholes.append(whole)
+        keys = np.array([a * size + b for a, b in self.ranks], np.int64)
         order = np.argsort(keys)
         self.keys = keys[order]
-        self.key_ranks = np.array([r for r, _ in self.pairs.values()], np.int64)[order]
+        self.key_ranks = np.array(list(self.ranks.values()), np.int64)[order]
         self.proposed = {s: i for s, i in self.ids.items() if self._reached[i]}
-        self.longest = max(len(s) for s in self.proposed)
+        self.reach: dict[str, int] = {}  # the longest entry by its first symbols; unlisted heads begin none longer
+        for s in self.proposed:
+            symbols = s.removesuffix(self.suffix)
+            self.reach[symbols[:_HEAD]] = max(len(symbols), self.reach.get(symbols[:_HEAD], 0), _HEAD)
+
+    @cached_property
+    def encoder(self) -> _Encoder:
+        """Made once in a Python worker, so tasks that follow each other share the pieces it knows."""
+        return _Encoder(self)
+
+    @cached_property
+    def decoder(self) -> _Decoder:
+        return _Decoder(self)
 
     @cached_property
     def _reached(self) -> np.ndarray:
@@ -120,13 +136,14 @@ class Vocabulary:
 
     def propose(self, word: str) -> list[int] | None:
         """Ids of the longest entries from left to right; None where a symbol is no entry."""
-        entry, suffix, n, at, out = self.proposed.get, self.suffix, len(word), 0, []
+        entry, reach, suffix, n, at, out = self.proposed.get, self.reach.get, self.suffix, len(word), 0, []
+        last = n - 1 if suffix else n  # an entry up to the end carries the suffix
         while at < n:
-            found = None
-            if n - at <= self.longest:
+            longest, found = reach(word[at : at + _HEAD], _HEAD), None
+            if n - at <= longest:
                 found, end = entry(word[at:] + suffix), n
             if found is None:
-                for end in range(min(n - 1 if suffix else n, at + self.longest), at, -1):
+                for end in range(min(last, at + longest), at, -1):
                     found = entry(word[at:end])
                     if found is not None:
                         break
@@ -139,28 +156,42 @@ class Vocabulary:
     def merge(self, word: str) -> list[int]:
         """Ids of a word by the rules: the pair of lowest rank, the leftmost of equals, until none is left.
 
-        A symbol that is no entry is left out. Pairs wait in a heap; one whose symbols have changed is skipped.
+        A symbol that is no entry is left out.
         """
-        entry, pair = self.ids.get, self.pairs.get
+        entry = self.ids.get
         ids = [i for i in map(entry, [*word[:-1], word[-1] + self.suffix]) if i is not None]
-        n = len(ids)
+        if len(ids) > _SHORT:
+            return self._merge_long(ids)
+        rank_of, whole_of = self.ranks.get, self.wholes
+        ranks = [rank_of(pair, _NONE) for pair in zip(ids, ids[1:])]
+        while ranks and (rank := min(ranks)) != _NONE:
+            i = ranks.index(rank)
+            ids[i : i + 2] = [whole_of[rank]]
+            del ranks[i]
+            if i < len(ranks):
+                ranks[i] = rank_of((ids[i], ids[i + 1]), _NONE)
+            if i:
+                ranks[i - 1] = rank_of((ids[i - 1], ids[i]), _NONE)
+        return ids
+
+    def _merge_long(self, ids: list[int]) -> list[int]:
+        """The same for many symbols: pairs wait in a heap, and one whose symbols have changed is skipped."""
+        rank_of, n = self.ranks.get, len(ids)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        waiting = [(m[0], i, m[1], a, b) for i, (a, b) in enumerate(zip(ids, ids[1:])) if (m := pair((a, b)))]
+        waiting = [(rank, i, a, b) for i, (a, b) in enumerate(zip(ids, ids[1:])) if (rank := rank_of((a, b))) is not None]
         heapq.heapify(waiting)
         while waiting:
-            _, i, whole, a, b = heapq.heappop(waiting)
+            rank, i, a, b = heapq.heappop(waiting)
             j = after[i]
             if ids[i] != a or j >= n or ids[j] != b:
                 continue
-            ids[i], ids[j], k = whole, -1, after[j]
-            after[i] = k
-            if k < n:
+            whole = self.wholes[rank]
+            ids[i], ids[j], after[i] = whole, -1, after[j]
+            if (k := after[i]) < n:
                 before[k] = i
-                if m := pair((whole, ids[k])):
-                    heapq.heappush(waiting, (m[0], i, m[1], whole, ids[k]))
-            h = before[i]
-            if h >= 0 and (m := pair((ids[h], whole))):
-                heapq.heappush(waiting, (m[0], h, m[1], ids[h], whole))
+            for x, y in ((i, k), (before[i], i)):
+                if x >= 0 and y < n and (rank := rank_of((ids[x], ids[y]))) is not None:
+                    heapq.heappush(waiting, (rank, x, ids[x], ids[y]))
         return [i for i in ids if i >= 0]
 
     def encode_words(self, words: list[str]) -> list[list[int]]:
@@ -184,8 +215,27 @@ def load_vocabulary(path: str) -> Vocabulary:
     return Vocabulary(json.loads(Path(path).read_text(encoding="utf-8")))
 
 
+class _Lists:
+    """Lists of ids, end to end."""
+
+    def __init__(self):
+        self.values, self.ends = np.empty(0, np.int32), np.zeros(1, np.int64)
+
+    def add(self, values: np.ndarray, sizes: np.ndarray) -> None:
+        self.values = np.concatenate([self.values, values.astype(np.int32)])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes, dtype=np.int64)])
+
+    def take(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The lists at ``places`` end to end, and where each ends."""
+        first = self.ends[places]
+        sizes = self.ends[places + 1] - first
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.values[np.arange(total) + np.repeat(first - ends + sizes, sizes)], ends
+
+
 class _Encoder:
-    """Encodes texts piece by piece and remembers pieces."""
+    """Encodes texts piece by piece and remembers pieces and words, up to a fixed number."""
 
     def __init__(self, vocabulary: Vocabulary):
         from tokenizers import Tokenizer
@@ -193,43 +243,113 @@ class _Encoder:
         self.vocabulary = vocabulary
         frame = Tokenizer.from_str(vocabulary.frame)
         self.normalizer, self.splitter = frame.normalizer, frame.pre_tokenizer
+        if any(self._words(f"a{c}b") != self._words("a") + self._words("b") for c in " \t\n\v\f\r"):
+            raise ValueError("a file whose words hold no white space is wanted")
         specials = sorted(vocabulary.specials, key=len, reverse=True)
         self.special = re.compile("(" + "|".join(map(re.escape, specials)) + ")") if specials else None
-        self.pieces: dict[str, list[int]] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        """Places of pieces and words in their lists of ids. Special tokens count as words, under their id."""
+        self.pieces: dict[str, int] = {}
+        self.words: dict[str | int, int] = {}
+        self.piece_ids, self.word_ids = _Lists(), _Lists()
+
+    def _split(self, text: str) -> list[tuple[str, tuple[int, int]]]:
+        return self.splitter.pre_tokenize_str(text) if self.splitter else [(text, (0, len(text)))]
 
     def _words(self, text: str) -> list[str]:
-        text = self.normalizer.normalize_str(text) if self.normalizer else text
-        return [w for w, _ in self.splitter.pre_tokenize_str(text)] if self.splitter else [text]
+        return [w for w, _ in self._split(self.normalizer.normalize_str(text) if self.normalizer else text)]
+
+    def _words_of(self, pieces: list[str]) -> tuple[list[str], np.ndarray]:
+        """Words of all pieces in order, and how many each piece has.
+
+        Normalising and splitting stay inside blanks, so pieces go through together.
+        """
+        joined = " ".join(pieces)
+        joined = self.normalizer.normalize_str(joined) if self.normalizer else joined
+        normal = joined.split(" ")
+        if len(normal) != len(pieces):  # some piece holds white space of another kind
+            lists = [self._words(p) for p in pieces]
+            return [w for x in lists for w in x], np.array([len(x) for x in lists], np.int64)
+        found = self._split(joined)
+        starts = np.cumsum([0, *[len(p) + 1 for p in normal[:-1]]])
+        at = np.fromiter((start for _, (start, _) in found), np.int64, len(found))
+        return [w for w, _ in found], np.bincount(np.searchsorted(starts, at, "right") - 1, minlength=len(pieces))
+
+    def _words_apart(self, piece: str) -> list[str | int]:
+        """Words of a piece that holds special tokens, which become their ids, or white space of another kind."""
+        specials = self.vocabulary.specials
+        cut = self.special.split(piece) if self.special else [piece]
+        return [x for s in cut if s for x in ([specials[s]] if s in specials else self._words(s))]
 
     def _learn(self, pieces: list[str]) -> None:
-        """Encode pieces that were not met; all their distinct words are verified together."""
-        parts: list[list[str | int]] = []
-        for piece in pieces:
-            cut = self.special.split(piece) if self.special else [piece]
-            parts.append([x for s in cut if s for x in ([self.vocabulary.specials[s]] if s in self.vocabulary.specials else self._words(s))])
-        words = list(dict.fromkeys(x for part in parts for x in part if isinstance(x, str) and x))
-        ids = dict(zip(words, self.vocabulary.encode_words(words)))
-        for piece, part in zip(pieces, parts):
-            self.pieces[piece] = [i for x in part if x != "" for i in (ids[x] if isinstance(x, str) else (x,))]
-
-    def __call__(self, texts: list[str | None]) -> pa.ListArray:
-        if len(self.pieces) > _KNOWN:
-            self.pieces.clear()
-        cut = [(t or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        new = {p for pieces in cut for p in pieces if p not in self.pieces}
-        self._learn(list(new))
-        flat, offsets, known = array.array("i"), [0], self.pieces
-        for pieces in cut:
-            for p in pieces:
-                flat.extend(known[p])
-            offsets.append(len(flat))
-        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(flat, np.int32) if flat else [], pa.int32()))
-
-
-def _blocks(sizes: list[int], most: int):
+        """Encode pieces that were not met; the distinct new words among them are verified together."""
+        apart = [p for p in pieces if (self.special and self.special.search(p)) or p.split() != [p]]
+        if apart:
+            left = set(apart)
+            pieces = [p for p in pieces if p not in left]
+        words, counts = self._words_of(pieces) if pieces else ([], np.empty(0, np.int64))
+        lists = [self._words_apart(p) for p in apart]
+        words += [x for part in lists for x in part]
+        counts = np.concatenate([counts, np.array([len(x) for x in lists], np.int64)])
+        known = self.words
+        new = [x for x in dict.fromkeys(words) if x not in known]
+        strings = [x for x in new if isinstance(x, str)]
+        coded = iter(self.vocabulary.encode_words(strings))
+        ids = [next(coded) if isinstance(x, str) else [x] for x in new]
+        known.update(zip(new, range(len(known), len(known) + len(new))))
+        self.word_ids.add(np.fromiter((i for x in ids for i in x), np.int32), np.array([len(x) for x in ids], np.int64))
+        flat, ends = self.word_ids.take(np.fromiter(map(known.__getitem__, words), np.int64, len(words)))
+        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
+        self.pieces.update(zip([*pieces, *apart], range(len(self.pieces), len(self.pieces) + len(counts))))
+        self.piece_ids.add(flat, np.diff(bounds))
+
+    def __call__(self, texts: pa.Array) -> pa.ListArray:
+        """Ids of every text; pieces are cut and told apart in Arrow, so each distinct one is looked up once."""
+        if max(len(self.pieces), len(self.words)) > _KNOWN:
+            self._forget()
+        cut = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        coded = cut.flatten().dictionary_encode()
+        pieces = coded.dictionary.to_pylist()
+        new = [p for p in pieces if p not in self.pieces]
+        if new:
+            self._learn(new)
+        places = np.fromiter(map(self.pieces.__getitem__, pieces), np.int64, len(pieces))
+        ids, ends = self.piece_ids.take(places[coded.indices.to_numpy()])
+        bounds = np.concatenate([[0], ends])[cut.offsets.to_numpy() - cut.offsets[0].as_py()]
+        return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))
+
+
+class _Decoder:
+    """Texts of id lists."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        from tokenizers import Tokenizer
+
+        self.decoder = Tokenizer.from_str(vocabulary.frame).decoder if vocabulary.has_decoder else None
+        self.known = np.zeros(max(vocabulary.texts) + 2, bool)  # the last place stands for ids beyond
+        self.known[list(vocabulary.texts)] = True
+        self.entries = pa.array([vocabulary.texts.get(i, "") for i in range(len(self.known))], pa.string())
+
+    def __call__(self, lists: pa.ListArray) -> pa.Array:
+        known = self.known
+        ids = pc.fill_null(lists.flatten(), -1).to_numpy(zero_copy_only=False)
+        ids = np.where((ids >= 0) & (ids < len(known)), ids, len(known) - 1)
+        sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+        ends = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+        kept = known[ids]
+        bounds = np.concatenate([[0], np.cumsum(kept, dtype=np.int64)])[ends]
+        rows = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), self.entries.take(pa.array(ids[kept])))
+        if self.decoder:
+            return pa.array([self.decoder.decode(tokens) for tokens in rows.to_pylist()], pa.string())
+        return pc.binary_join(rows, " ")
+
+
+def _blocks(sizes: pa.Array, most: int):
     """Consecutive row ranges of about ``most`` units; a larger row is a range of its own."""
     start, total = 0, 0
-    for i, size in enumerate(sizes):
+    for i, size in enumerate(pc.fill_null(sizes, 0).to_pylist()):
         if total and total + size > most:
             yield start, i
             start, total = i, 0
@@ -238,24 +358,28 @@ def _blocks(sizes: list[int], most: int):
         yield start, len(sizes)
 
 
-def encode(docs: DataFrame, path: str, text: str = "text", result: str = "ids") -> DataFrame:
-    """``docs`` with the token ids of ``text`` as ``result``."""
-    name, copy = fresh(docs, result, "_whole")
-    names = docs.columns
+def encode(docs: DataFrame, path: str, text: str = "text", result: str = "ids", decoded: str | None = None, carry: list[str] | None = None) -> DataFrame:
+    """``docs`` with the token ids of ``text`` as ``result``; on demand with the text they decode to as ``decoded``.
+
+    ``carry`` names the columns to keep, by default all.
+    """
+    *added, copy = fresh(docs, *([result, decoded] if decoded else [result]), "_whole")
+    names = docs.columns if carry is None else carry
+    kept = docs.select(*[f"`{c}`" for c in names]).schema.fields
     shared = docs.sparkSession.sparkContext.broadcast(load_vocabulary(path))
 
     def run(batches):
-        encoder = _Encoder(shared.value)
+        encoder, decoder = shared.value.encoder, shared.value.decoder if decoded else None
         for batch in batches:
-            texts = batch.column(len(names))
-            sizes = [x or 0 for x in pc.binary_length(texts).to_pylist()]
-            for start, end in _blocks(sizes, _CHARS):
+            for start, end in _blocks(pc.binary_length(batch.column(len(names))), _CHARS):
                 some = batch.slice(start, end - start)
-                ids = encoder(some.column(len(names)).to_pylist())
-                yield pa.RecordBatch.from_arrays([*[some.column(i) for i in range(len(names))], ids], [*names, name])
+                ids = encoder(some.column(len(names)))
+                made = [ids, decoder(ids)] if decoder else [ids]
+                yield pa.RecordBatch.from_arrays([*[some.column(i) for i in range(len(names))], *made], [*names, *added])
 
-    shown = docs.select("*", F.col(f"`{text}`").cast("string").alias(copy))
-    return shown.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.ArrayType(T.IntegerType()))]))
+    shown = docs.select(*[f"`{c}`" for c in names], F.col(f"`{text}`").cast("string").alias(copy))
+    types = [T.ArrayType(T.IntegerType()), T.StringType()]
+    return shown.mapInArrow(run, T.StructType([*kept, *[T.StructField(c, t) for c, t in zip(added, types)]]))
 
 
 def decode(rows: DataFrame, path: str, ids: str = "ids", result: str = "decoded") -> DataFrame:
@@ -268,20 +392,12 @@ def decode(rows: DataFrame, path: str, ids: str = "ids", result: str = "decoded"
     shared = rows.sparkSession.sparkContext.broadcast(load_vocabulary(path))
 
     def run(batches):
-        from tokenizers import Tokenizer
-
-        texts = shared.value.texts
-        decoder = Tokenizer.from_str(shared.value.frame).decoder if shared.value.has_decoder else None
+        decoder = shared.value.decoder
         for batch in batches:
-            lists = batch.column(len(names))
-            sizes = [x or 0 for x in pc.list_value_length(lists).to_pylist()]
-            for start, end in _blocks(sizes, _CHARS // 4):
+            for start, end in _blocks(pc.list_value_length(batch.column(len(names))), _CHARS // 4):
                 some = batch.slice(start, end - start)
-                out = []
-                for row in some.column(len(names)).to_pylist():
-                    tokens = [texts[i] for i in row or () if i in texts]
-                    out.append(decoder.decode(tokens) if decoder else " ".join(tokens))
-                yield pa.RecordBatch.from_arrays([*[some.column(i) for i in range(len(names))], pa.array(out, pa.string())], [*names, name])
+                out = decoder(some.column(len(names)))
+                yield pa.RecordBatch.from_arrays([*[some.column(i) for i in range(len(names))], out], [*names, name])
 
     shown = rows.select("*", F.col(f"`{ids}`").cast("array<int>").alias(copy))
     return shown.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField(name, T.StringType())]))
@@ -289,10 +405,10 @@ def decode(rows: DataFrame, path: str, ids: str = "ids", result: str = "decoded"
 
 def token_digest(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens, and digests of the ids and of the text they decode to."""
-    coded = encode(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), path).drop("text")
-    listed = F.array_join(F.col("ids").cast("array<string>"), " ")
-    narrow = decode(coded, path).select(
+    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    coded = encode(narrow, path, decoded="decoded", carry=["doc_id"])
+    return coded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(listed.cast("binary"), 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
-    return narrow

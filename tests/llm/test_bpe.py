@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -62,7 +63,7 @@ def test_whole_documents(spark, library):
 @given(st.lists(st.text(max_size=30), max_size=6))
 def test_any_text(library, vocabulary, texts):
     encoder = bpe._Encoder(vocabulary)
-    got = encoder(texts).to_pylist()
+    got = encoder(pa.array(texts, pa.string())).to_pylist()
     assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
 
 
@@ -91,7 +92,7 @@ def test_pieces_are_forgotten_without_harm(library, vocabulary, monkeypatch):
     monkeypatch.setattr(bpe, "_KNOWN", 2)
     encoder = bpe._Encoder(vocabulary)
     for text in ("one two three four", "four five six", "one one nine"):
-        assert encoder([text]).to_pylist() == [library.encode(text, add_special_tokens=False).ids]
+        assert encoder(pa.array([text])).to_pylist() == [library.encode(text, add_special_tokens=False).ids]
 
 
 def test_lists_that_hold_odd_ids(spark):
@@ -103,6 +104,8 @@ def test_lists_that_hold_odd_ids(spark):
 def test_files_that_need_other_rules(tmp_path, monkeypatch):
     with pytest.raises(ValueError):
         Vocabulary({"model": {"type": "WordPiece", "vocab": {}}})
+    with pytest.raises(ValueError):  # words that begin with a blank
+        bpe._Encoder(load_vocabulary(public_tokenizers.path("byte_bpe_50k.json")))
     with pytest.raises(ValueError):
         Vocabulary({"model": {"type": "BPE", "vocab": {}, "merges": [], "unk_token": "?"}})
     monkeypatch.setattr(bpe, "MAX_FILE", 10)
