@@ -1,8 +1,8 @@
 """Training telemetry over an event table keyed by run and step.
 
 A run may hold any share of the table. Stateful operators therefore never see a whole run: events
-are grouped by (run, chunk of steps), each chunk is reduced to a short summary, the summaries of a
-run are walked once to get the state at every chunk's start, and the chunks finish in parallel.
+are grouped by (run, chunk of steps), each chunk is reduced to a short summary, summaries give the state
+at every chunk's start, and the chunks finish in parallel.
 """
 
 from __future__ import annotations
@@ -21,6 +21,8 @@ from loomset.session import join_lookup
 # Steps per chunk. A step occurs once per run, so this bounds the rows of a chunk; a run of four
 # billion steps has 65,536 chunks.
 CHUNK_STEPS = 1 << 16
+# Chunks whose maps are composed by one task.
+FAN = 64
 # Ranks up to this many rows are cut before the shuffle by WindowGroupLimit.
 GROUP_LIMIT = 1_000
 
@@ -101,50 +103,203 @@ def _segments(pdf: pd.DataFrame) -> Iterator[tuple[int, int]]:
     yield from zip(edges[:-1], edges[1:])
 
 
-def _chunk_records(rows: DataFrame) -> DataFrame:
-    """Each chunk's strict prefix minima: all that can matter to a state coming from before it.
+def chunk_map(
+    losses: np.ndarray, places: np.ndarray, n: int, low: float, min_delta: float
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What a chunk makes of the state that enters it: ``(above, best, wait)``.
 
-    ``place`` is a row's position in its chunk and ``n`` the number of rows there.
+    ``losses`` are the chunk's strict prefix minima below ``low``, the smallest loss before the chunk. With
+    the entering threshold T = best - min_delta, the first piece whose ``above`` is below T tells the
+    leaving state; if none is, the best loss stays and the chunk's rows are added to the wait. T lies
+    between low - min_delta and low, so minima behind the first one below that range never come first. Each
+    minimum's chain of improvements ends somewhere in the chunk; neighbours with the same end are one piece.
     """
-    chunk = Window.partitionBy("run_id", "chunk")
-    in_order = chunk.orderBy("step")
-    marked = rows.select(
-        "run_id",
-        "chunk",
-        "eval_loss",
-        F.min("eval_loss").over(in_order.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
-        F.row_number().over(in_order).alias("place"),
-        F.count("*").over(chunk).alias("n"),
-    )
-    return marked.where("_before IS NULL OR eval_loss < _before").drop("_before")
+    if len(losses) == 0:
+        return losses, losses, places
+    following = np.searchsorted(-losses, -(losses - min_delta), side="right")
+    end = np.where(following < len(losses), following, np.arange(len(losses)))
+    while (end[end] != end).any():
+        end = end[end]
+    first = end[: int((losses >= low - min_delta).sum()) + 1]
+    kept = np.append(np.flatnonzero(first[1:] != first[:-1]), len(first) - 1)
+    return losses[kept], losses[first[kept]], n - 1 - places[first[kept]]
 
 
-def _walk_chunks(min_delta: float):
-    """State at the start of every chunk, from records in (run, chunk, place) order."""
+def compose(f: tuple, g: tuple, min_delta: float) -> tuple:
+    """The map of two neighbouring stretches; a map is ``(above, best, wait, n)``."""
+    (above, best, wait, n), (above2, best2, wait2, n2) = f, g
+    hit = np.searchsorted(-above2, -(best - min_delta), side="right")  # NaN finds nothing
+    moved = hit < len(above2)
+    hit = np.minimum(hit, max(len(above2) - 1, 0))
+    if len(above2):
+        best, wait = np.where(moved, best2[hit], best), np.where(moved, wait2[hit], wait + n2)
+    else:
+        wait = wait + n2
+    above, best, wait = (np.concatenate(x) for x in ((above, above2), (best, best2), (wait, wait2)))
+    same = (best[1:] == best[:-1]) & (wait[1:] == wait[:-1])
+    kept = np.append(np.flatnonzero(~same), len(above) - 1) if len(above) else np.empty(0, np.int64)
+    return above[kept], best[kept], wait[kept], n + n2
+
+
+_MAP = "above double, best_out double, wait_out bigint, n bigint, low double, first boolean"
+
+
+def _map_rows(keys: tuple, pieces: tuple, n: int, low: float, first: bool) -> list[np.ndarray]:
+    """A map as columns; one without pieces is a row without ``above``."""
+    above, best, wait = pieces if len(pieces[0]) else ([np.nan], [np.nan], [0])
+    size = len(above)
+    constant = [np.full(size, x) for x in (n, low, first)]
+    return [*[np.full(size, k) for k in keys], np.asarray(above), np.asarray(best), np.asarray(wait, np.int64), *constant]
+
+
+def _frame(rows: list[list[np.ndarray]], names: list[str]) -> pd.DataFrame:
+    return pd.DataFrame({c: np.concatenate(x) for c, x in zip(names, zip(*rows))})
+
+
+def _chunk_maps(min_delta: float):
+    """The map of every chunk; a chunk begins with the row that carries the smallest loss before it.
+
+    The first chunk of a run has no entering state. Its map is one piece that always applies.
+    """
+    names = ["run_id", "chunk", "above", "best_out", "wait_out", "n", "low", "first"]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        here, low, lowest, first, n, best, at, losses, places = None, np.inf, np.inf, False, 0, None, 0, [], []
+
+        def closed() -> list[np.ndarray]:
+            if first:
+                pieces = [np.inf * -1], [best], [n - 1 - at]
+            else:
+                pieces = chunk_map(np.concatenate([np.empty(0), *losses]), np.concatenate([np.empty(0, np.int64), *places]), n, low, min_delta)
+            return _map_rows(here, pieces, n, low, first)
 
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at, best, wait = None, None, 0
         for pdf in batches:
-            starts = []
-            runs, chunks, losses, places, sizes = (
-                pdf[c].to_numpy() for c in ("run_id", "chunk", "eval_loss", "place", "n")
-            )
+            rows = []
+            runs, chunks, values, lows, firsts = (pdf[c].to_numpy() for c in ("run_id", "chunk", "eval_loss", "low", "first"))
             for start, end in _segments(pdf):
-                here = (runs[start], chunks[start])
-                if here != at:
-                    if at is None or at[0] != here[0]:
-                        best, wait = None, 0
-                    at = here
-                    starts.append((*here, best, wait, best is not None))
-                    wait += int(sizes[start])
-                hits = improve(losses[start:end], best, min_delta)
-                if len(hits):
-                    last = start + hits[-1]
-                    best, wait = float(losses[last]), int(sizes[last] - places[last])
-            out = pd.DataFrame(starts, columns=["run_id", "chunk", "best_in", "wait_in", "started"])
-            yield out.astype({"best_in": "float64", "wait_in": "int64", "started": "bool"})
-
-    return walk
+                if (runs[start], chunks[start]) != here:
+                    if here is not None:
+                        rows.append(closed())
+                    here, n, best, at, losses, places = (runs[start], chunks[start]), 0, None, 0, [], []
+                    low, first = lows[start], bool(firsts[start])
+                    low = lowest = np.inf if np.isnan(low) else float(low)
+                    start += 1
+                part = values[start:end].astype(float)
+                if first:
+                    hits = improve(part, best, min_delta)
+                    if len(hits):
+                        best, at = float(part[hits[-1]]), n + int(hits[-1])
+                elif len(part):
+                    known = np.where(np.isnan(part), np.inf, part)
+                    before = np.minimum.accumulate(np.concatenate(([lowest], known)))
+                    found = np.flatnonzero(known < before[:-1])
+                    losses.append(known[found])
+                    places.append(n + found)
+                    lowest = before[-1]
+                n += len(part)
+            if rows:
+                yield _frame(rows, names)
+        if here is not None:
+            yield _frame([closed()], names)
+
+    return run
+
+
+def _tables(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[tuple[tuple, dict[str, np.ndarray]]]:
+    """Key and columns of every stretch of rows with equal keys, across batches."""
+    key, held = None, []
+
+    def joined() -> dict[str, np.ndarray]:
+        return held[0] if len(held) == 1 else {c: np.concatenate([h[c] for h in held]) for c in held[0]}
+
+    for pdf in batches:
+        if len(pdf) == 0:
+            continue
+        columns = {c: pdf[c].to_numpy() for c in pdf.columns}
+        changed = np.zeros(len(pdf) - 1, bool)
+        for k in keys:
+            changed |= columns[k][1:] != columns[k][:-1]
+        edges = [0, *(np.flatnonzero(changed) + 1).tolist(), len(pdf)]
+        for start, end in zip(edges[:-1], edges[1:]):
+            here = tuple(columns[k][start] for k in keys)
+            if here != key:
+                if held:
+                    yield key, joined()
+                key, held = here, []
+            held.append({c: v[start:end] for c, v in columns.items()})
+    if held:
+        yield key, joined()
+
+
+def _pieces(t: dict[str, np.ndarray]) -> tuple:
+    some = ~np.isnan(t["above"])
+    return t["above"][some], t["best_out"][some], t["wait_out"][some], int(t["n"][0])
+
+
+def _compose_groups(min_delta: float):
+    """One map per group of chunks, from the maps of its chunks in order."""
+    names = ["run_id", "grp", "above", "best_out", "wait_out", "n", "low", "first"]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        here, whole, low, first, rows, waiting = None, None, np.inf, False, [], 0
+        for (run_id, grp, _), t in _tables(batches, ["run_id", "grp", "chunk"]):
+            if (run_id, grp) != here:
+                if here is not None:
+                    rows.append(_map_rows(here, whole[:3], whole[3], low, first))
+                    waiting += len(whole[0])
+                here, whole, low, first = (run_id, grp), _pieces(t), float(t["low"][0]), bool(t["first"][0])
+            else:
+                whole = compose(whole, _pieces(t), min_delta)
+                used = 1 if first else int((whole[0] >= low - min_delta).sum()) + 1
+                whole = (*[x[:used] for x in whole[:3]], whole[3])
+            if waiting >= 1 << 16:
+                yield _frame(rows, names)
+                rows, waiting = [], 0
+        if here is not None:
+            yield _frame([*rows, _map_rows(here, whole[:3], whole[3], low, first)], names)
+
+    return run
+
+
+def _walk(min_delta: float, outer: list[str], inner: str):
+    """The state that enters every stretch, from maps in order; an ``is_map`` of 0 marks a row with the outer one's start."""
+    names = [*dict.fromkeys(["run_id", inner]), "best_in", "wait_in", "started"]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, best, wait, started, rows = None, np.nan, 0, False, []
+        for key, t in _tables(batches, [*outer, "is_map", inner]):
+            if key[: len(outer)] != at:
+                at, best, wait, started = key[: len(outer)], np.nan, 0, False
+            if key[-2] == 0:
+                best, wait, started = float(t["best_out"][0]), int(t["wait_out"][0]), bool(t["first"][0])
+                continue
+            rows.append((key[0], key[-1], best, wait, started))
+            above, bests, waits, n = _pieces(t)
+            hit = np.flatnonzero(above < best - min_delta)[:1] if started else np.zeros(1, np.int64)
+            started = True
+            best, wait = (float(bests[hit[0]]), int(waits[hit[0]])) if len(hit) else (best, wait + n)
+            if len(rows) >= 1 << 16:
+                yield pd.DataFrame(rows, columns=names)
+                rows = []
+        if rows:
+            yield pd.DataFrame(rows, columns=names)
+
+    return run
+
+
+def _in_order(maps: DataFrame, starts: DataFrame, outer: list[str], inner: str) -> DataFrame:
+    """Maps of each outer stretch in one place and in order, after a row with its start state."""
+    heads = starts.select(
+        *outer,
+        F.lit(0).alias("is_map"),
+        F.col("best_in").alias("best_out"),
+        F.col("wait_in").alias("wait_out"),
+        F.col("started").alias("first"),
+        F.lit(0).cast("long").alias(inner),
+        F.lit(0).cast("long").alias("n"),
+    )
+    together = maps.withColumn("is_map", F.lit(1)).unionByName(heads, allowMissingColumns=True)
+    return together.repartition(*outer).sortWithinPartitions(*outer, "is_map", inner, F.col("above").desc_nulls_last())
 
 
 def _finish_chunks(patience: int, min_delta: float):
@@ -188,23 +343,61 @@ def _with_carry(rows: DataFrame, carried: DataFrame) -> DataFrame:
     )
 
 
+def _chunk_heads(rows: DataFrame, start: DataFrame) -> DataFrame:
+    """(run_id, chunk, low, first): the smallest loss before each chunk, and whether nothing comes before it."""
+    per_chunk = rows.groupBy("run_id", "chunk").agg(F.min("eval_loss").alias("low"))
+    # One row per chunk reaches this window, 65,536 of a run of four billion steps.
+    before = Window.partitionBy("run_id").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    known = F.when(~F.isnan("low"), F.col("low"))
+    marked = per_chunk.select("run_id", "chunk", F.min(known).over(before).alias("low"), (F.count("*").over(before) == 0).alias("first"))
+    entering = F.when(~F.isnan("best_in"), F.col("best_in"))
+    return marked.join(start, "run_id", "left").select(
+        "run_id", "chunk", F.least("low", entering).alias("low"), (F.col("first") & F.col("started").isNull()).alias("first")
+    )
+
+
 def early_stopping_states(
-    events: DataFrame, patience: int = PATIENCE, min_delta: float = MIN_DELTA, chunk_steps: int = CHUNK_STEPS
+    events: DataFrame,
+    patience: int = PATIENCE,
+    min_delta: float = MIN_DELTA,
+    chunk_steps: int = CHUNK_STEPS,
+    start: DataFrame | None = None,
 ) -> DataFrame:
     """State after every evaluation: ``(run_id, step, eval_loss, best_loss, wait_count, should_stop)``.
 
-    A run that begins with a NaN has a null best loss. Between chunks only strict prefix minima travel, about ln(rows) per chunk of noisy losses. They
-    stream through the walk as plain rows, with a constant state.
+    ``start`` ``(run_id, best_loss, wait_count)`` has the states that earlier evaluations left, one row per
+    run. A run that begins with a NaN has a null best loss, here and there.
+
+    The state machine is evaluated as maps. A chunk becomes a piecewise constant map from the entering best
+    loss to the leaving state, maps of neighbouring chunks are composed into one per group of ``FAN``, and
+    groups are walked to get their start states; then chunks of a group, then the rows of a chunk. Steady
+    falls faster than ``min_delta`` a step leave one piece per chunk; slower ones at most the prefix minima
+    within ``min_delta`` of the entering loss.
     """
-    run_type = events.schema["run_id"].dataType.simpleString()
+    kind = events.schema["run_id"].dataType.simpleString()
     rows = chunked(events, chunk_steps)
-    ordered = _chunk_records(rows).repartition("run_id").sortWithinPartitions("run_id", "chunk", "place")
-    carried = ordered.mapInPandas(
-        _walk_chunks(min_delta), f"run_id {run_type}, chunk bigint, best_in double, wait_in bigint, started boolean"
+    if start is None:
+        entered = events.sparkSession.createDataFrame([], f"run_id {kind}, best_in double, wait_in bigint, started boolean")
+    else:
+        entered = start.select(
+            F.col("run_id").cast(kind).alias("run_id"),
+            F.coalesce(F.col("best_loss").cast("double"), F.lit(float("nan"))).alias("best_in"),
+            F.col("wait_count").cast("long").alias("wait_in"),
+            F.lit(True).alias("started"),
+        )
+    maps = _with_carry(rows, _chunk_heads(rows, entered)).mapInPandas(_chunk_maps(min_delta), f"run_id {kind}, chunk bigint, {_MAP}")
+    maps = maps.withColumn("grp", F.floor(F.col("chunk") / FAN))
+    grouped = maps.repartition("run_id", "grp").sortWithinPartitions("run_id", "grp", "chunk", F.col("above").desc_nulls_last())
+    composed = grouped.mapInPandas(_compose_groups(min_delta), f"run_id {kind}, grp bigint, {_MAP}")
+    into_groups = _in_order(composed, entered, ["run_id"], "grp").mapInPandas(
+        _walk(min_delta, ["run_id"], "grp"), f"run_id {kind}, grp bigint, best_in double, wait_in bigint, started boolean"
+    )
+    carried = _in_order(maps, into_groups, ["run_id", "grp"], "chunk").mapInPandas(
+        _walk(min_delta, ["run_id", "grp"], "chunk"), f"run_id {kind}, chunk bigint, best_in double, wait_in bigint, started boolean"
     )
     return _with_carry(rows, carried).mapInPandas(
         _finish_chunks(patience, min_delta),
-        f"run_id {run_type}, step bigint, eval_loss double, best_loss double, wait_count bigint, should_stop boolean",
+        f"run_id {kind}, step bigint, eval_loss double, best_loss double, wait_count bigint, should_stop boolean",
     )
 
 

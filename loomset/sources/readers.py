@@ -33,6 +33,16 @@ def _files(spark: SparkSession, path: str) -> list:
     return [p for p in inside if not p.getName().startswith(("_", "."))]
 
 
+def numbered_folders(spark: SparkSession, path: str, prefix: str) -> list[tuple[int, str]]:
+    """(number, path) of the finished folders named ``prefix`` and a number, ascending."""
+    hadoop_path, fs = _file_system(spark, path)
+    if not fs.exists(hadoop_path):
+        return []
+    done = spark._jvm.org.apache.hadoop.fs.Path
+    inside = [s.getPath() for s in fs.listStatus(hadoop_path) if s.isDirectory() and s.getPath().getName().startswith(prefix)]
+    return sorted((int(p.getName()[len(prefix) :]), p.toString()) for p in inside if fs.exists(done(p, "_SUCCESS")))
+
+
 def with_row_id(df: DataFrame) -> DataFrame:
     """Adds ``row_id`` in scan order, for inputs without an id.
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
@@ -17,6 +19,16 @@ def start_file_sink(stream: DataFrame, path: str, checkpoint: str, once: bool =
     return writer.start(path)
 
 
+def start_batches(
+    stream: DataFrame, work: Callable[[DataFrame, int], None], checkpoint: str, once: bool = False
+) -> StreamingQuery:
+    """Call ``work(rows, number)`` for every micro-batch; the same number comes again after a failure."""
+    writer = stream.writeStream.foreachBatch(work).option("checkpointLocation", checkpoint)
+    if once:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
+
+
 def drain(stream: DataFrame, label: str) -> DataFrame:
     """Process everything available now, stop, and return what was written."""
     spark = stream.sparkSession

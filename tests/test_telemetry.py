@@ -2,6 +2,7 @@ import datetime
 import math
 import random
 
+import numpy as np
 import pytest
 
 import loomset.operators.telemetry as telemetry
@@ -151,3 +152,76 @@ def test_run_summary(spark):
         "Training Results:", "  Training time: 74.1s", "  Checkpoint: out/checkpoint-step-22",
         f"  Train loss: {1 / 23:.4f}", f"  Samples/sec: {92 / (3.37 * 22):.1f}",
     ]
+
+
+# ------------------------------------------------------------------ chunk maps
+
+
+def map_of(losses, low, min_delta):
+    """A chunk's map from its rows."""
+    known = np.where(np.isnan(losses), np.inf, losses)
+    before = np.minimum.accumulate(np.concatenate(([low], known)))
+    found = np.flatnonzero(known < before[:-1])
+    return (*telemetry.chunk_map(known[found], found, len(losses), low, min_delta), len(losses))
+
+
+def through(m, best, wait, min_delta):
+    above, bests, waits, n = m
+    hit = np.flatnonzero(above < best - min_delta)[:1]
+    return (float(bests[hit[0]]), int(waits[hit[0]])) if len(hit) else (best, wait + n)
+
+
+def stepwise(losses, best, wait, min_delta):
+    for x in losses:
+        best, wait = (x, 0) if x < best - min_delta else (best, wait + 1)
+    return best, wait
+
+
+@pytest.mark.parametrize("min_delta", [0.0, 0.01, 0.3])
+def test_maps_and_their_composition_equal_the_loop(min_delta):
+    rng = random.Random(6)
+    for _ in range(400):
+        fall = rng.choice([0.0, 0.001, 0.02])
+        parts, level = [], 3.0
+        for _ in range(4):
+            parts.append([rng.choice([math.nan, level]) if rng.random() < 0.1 else round((level := level - fall) + rng.choice([0, 0.05]) * rng.random(), 4) for _ in range(rng.randint(1, 12))])
+        start = 3.0 + rng.random() * min_delta
+        low, best, wait, whole = 3.0, start, 5, None
+        for part in parts:
+            m = map_of(np.array(part), low, min_delta)
+            assert through(m, best, wait, min_delta) == stepwise(part, best, wait, min_delta)
+            best, wait = stepwise(part, best, wait, min_delta)
+            low = min([low, *[x for x in part if not math.isnan(x)]])
+            whole = m if whole is None else telemetry.compose(whole, m, min_delta)
+        assert through(whole, start, 5, min_delta) == (best, wait)
+
+
+def test_a_falling_run_leaves_few_records_per_chunk():
+    n = 1 << 16
+    falls = lambda rate: 5.0 - rate * np.arange(1, n + 1)
+    assert len(map_of(falls(0.0015), 5.0, 0.001)[0]) <= 2
+    assert len(map_of(falls(0.001 / 50), 5.0, 0.001)[0]) <= 52
+    whole = map_of(falls(0.001 / 50), 5.0, 0.001)
+    for k in range(1, 8):  # composing keeps the bound
+        down = 0.001 / 50 * n * k
+        whole = telemetry.compose(whole, map_of(falls(0.001 / 50) - down, 5.0 - down, 0.001), 0.001)
+        whole = (*[x[: int((whole[0] >= 4.999).sum()) + 1] for x in whole[:3]], whole[3])
+    assert len(whole[0]) <= 52 and whole[3] == 8 * n
+
+
+@pytest.mark.parametrize("fan", [1, 2, 5])
+def test_groups_of_chunks(spark, fan, monkeypatch):
+    monkeypatch.setattr(telemetry, "FAN", fan)
+    runs = random_runs(9)
+    got = {(r["run_id"], r["step"]): (r["best_loss"], r["wait_count"]) for r in early_stopping_states(evals(spark, runs), 3, 0.01, 16).collect()}
+    assert got == {(run, i): state[:2] for run, losses in runs.items() for i, state in enumerate(stopping(losses, 3, 0.01))}
+
+
+def test_states_go_on_from_earlier_ones(spark):
+    runs = {**random_runs(10), "nan": [math.nan, 1.0, 0.5], "new": [0.3, 0.1, 0.2]}
+    df = evals(spark, runs)
+    whole = {(r["run_id"], r["step"]): repr(tuple(r)[2:]) for r in early_stopping_states(df, 3, 0.01, 16).collect()}
+    first = early_stopping_states(df.where("step < 130 AND run_id <> 'new'"), 3, 0.01, 16)
+    left = first.groupBy("run_id").agg(telemetry.F.max_by("best_loss", "step").alias("best_loss"), telemetry.F.max_by("wait_count", "step").alias("wait_count"))
+    rest = early_stopping_states(df.where("step >= 130 OR run_id = 'new'"), 3, 0.01, 16, start=left)
+    assert {(r["run_id"], r["step"]): repr(tuple(r)[2:]) for r in first.unionByName(rest).collect()} == whole

@@ -354,9 +354,29 @@ def _event_stream(spark: SparkSession, sf: str, view) -> DataFrame:
     return spark.readStream.schema(batch.schema).parquet(path)
 
 
+def _arrivals(spark: SparkSession, batch: DataFrame, parts: list, arrive) -> None:
+    """Call ``arrive(stream)`` after each part of ``batch`` was added to the folder that the stream reads."""
+    path = scratch_path(spark, "stream-input")
+    for part in parts:
+        batch.where(part).write.mode("append").parquet(path)
+        arrive(spark.readStream.schema(batch.schema).parquet(path))
+
+
 def early_stopping_stream(spark: SparkSession, sf: str) -> DataFrame:
-    stream = stream_telemetry.early_stopping_stream(_event_stream(spark, sf, views.runs))
-    return _states(drain(stream, "stopping"))
+    """The evaluations arrive in five micro-batches, earlier steps first."""
+    batch = views.runs(spark, sf)
+    out = scratch_path(spark, "stopping")
+    cuts = batch.approxQuantile("step", [0.2, 0.4, 0.6, 0.8], 0.01)
+    bounds = [float("-inf"), *cuts, float("inf")]
+    parts = [(F.col("step") > low) & (F.col("step") <= high) for low, high in zip(bounds[:-1], bounds[1:])]
+
+    def arrive(stream: DataFrame) -> None:
+        stream_telemetry.start_early_stopping(stream, out, f"{out}-states", f"{out}-checkpoint", once=True).awaitTermination()
+
+    _arrivals(spark, batch, parts, arrive)
+    kind = batch.schema["run_id"].dataType.simpleString()
+    schema = f"run_id {kind}, step bigint, eval_loss double, best_loss double, wait_count bigint, should_stop boolean"
+    return _states(stream_telemetry.batches_written(spark, out, schema))
 
 
 def progress(spark: SparkSession, sf: str) -> DataFrame:
@@ -364,8 +384,21 @@ def progress(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def progress_stream(spark: SparkSession, sf: str) -> DataFrame:
-    runs = materialize(telemetry.run_bounds(views.train_events(spark, sf)), "runs")
-    return drain(stream_telemetry.progress_stream(_event_stream(spark, sf, views.train_events), 5, runs), "progress")
+    """Four micro-batches of a quarter of the runs each; a run enters the run table just before its events."""
+    batch = views.train_events(spark, sf)
+    out, known = scratch_path(spark, "progress"), scratch_path(spark, "runs")
+    quarter = F.pmod(F.xxhash64("run_id"), F.lit(4))
+    bounds = telemetry.run_bounds(batch)
+    numbers = iter(range(4))
+
+    def arrive(stream: DataFrame) -> None:
+        bounds.where(quarter == next(numbers)).write.mode("append").parquet(known)
+        runs = lambda: spark.read.schema(bounds.schema).parquet(known)
+        stream_telemetry.start_progress(stream, runs, 5, out, f"{out}-checkpoint", once=True).awaitTermination()
+
+    _arrivals(spark, batch, [quarter == k for k in range(4)], arrive)
+    schema = telemetry.progress_projection(batch.join(bounds, "run_id", "left"), 5).schema
+    return stream_telemetry.batches_written(spark, out, schema)
 
 
 def metric_rows(spark: SparkSession, sf: str) -> DataFrame:
