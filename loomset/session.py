@@ -57,10 +57,10 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def write_scratch(df: DataFrame, label: str) -> str:
-    """Write ``df`` to shared scratch as parquet; returns the path."""
+def write_scratch(df: DataFrame, label: str, fmt: str = "parquet") -> str:
+    """Write ``df`` to shared scratch; returns the path."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.format(fmt).save(path)
     return path
 
 

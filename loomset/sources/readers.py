@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomset.operators.registry import REGISTERED, REGISTRY_COLUMNS, REGISTRY_SCHEMA
+from loomset.session import drop_path, materialize, write_scratch
+from loomset.sources import blocks
 
 CORRUPT = "_corrupt_record"
+_MARK = 7_203_685_477_580_911  # a number that no text is expected to end with
 
 # Cells that CSV readers of the pandas family take as missing.
 CSV_MISSING = [
@@ -52,27 +55,70 @@ def with_row_id(df: DataFrame) -> DataFrame:
     return df if "row_id" in df.columns else df.withColumn("row_id", F.monotonically_increasing_id())
 
 
-def _schema(spark: SparkSession, path: str, schema: T.StructType | str | None, quarantine: bool, **options) -> T.StructType:
-    """The given fields, else those found in the files; a broken file stops the search unless quarantined."""
-    if schema is None:
-        return spark.read.options(mode="DROPMALFORMED" if quarantine else "FAILFAST", **options).json(path).schema
+def _fields(schema: T.StructType | str) -> T.StructType:
     return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
 
-def _parsed_lists(spark: SparkSession, path: str, schema: T.StructType, mode: str) -> DataFrame:
-    """(file, value, _whole, _list): each file's text, whether it is bracketed as a list, and its parsed rows."""
-    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
-    text = F.btrim("value", F.lit(" \t\r\n\ufeff"))
-    whole = text.startswith("[") & text.endswith("]")
-    rows = F.when(whole, F.from_json(text, T.ArrayType(schema), {"mode": mode}))
-    return files.withColumns({"_whole": whole, "_list": rows})
+def _marked(fields: T.StructType) -> T.StructType:
+    return T.StructType([*fields.fields, T.StructField(CORRUPT, T.StringType())])
+
+
+def _parsed(text: Column, fields: T.StructType) -> Column:
+    """One object; a broken one, or one with a value of another type, fills ``CORRUPT``."""
+    return F.from_json(text, _marked(fields), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+
+
+def _refused(what: str) -> Column:
+    return F.raise_error(F.concat(F.lit(f"{what} in "), "file"))
+
+
+def _list_effect(rows: DataFrame) -> DataFrame:
+    """Quote state and added depth of pieces of JSON that end with a closing brace, for both starts."""
+    plain = F.when(F.instr("value", "\\") > 0, F.regexp_replace("value", r"(?s)\\.", "")).otherwise(F.col("value"))
+    stripped = rows.withColumn("_plain", plain).withColumn("_outside", F.regexp_replace("_plain", r'"[^"]*+(?:"|$)', ""))
+
+    def depth(name: str) -> Column:
+        closed = F.length(name) - F.length(F.translate(name, "]", ""))
+        return F.length(name) - F.length(F.translate(name, "[{", "")) - closed
+
+    quotes = F.length("_plain") - F.length(F.translate("_plain", '"', ""))
+    counted = stripped.withColumns({"end0": quotes % 2, "_all": depth("_plain"), "_out": depth("_outside")})
+    # What is outside quotes for one start is inside them for the other.
+    effect = {"end1": 1 - F.col("end0"), "add0": F.col("_out") - 1 + F.col("end0"), "add1": F.col("_all") - F.col("_out") - F.col("end0")}
+    return counted.withColumns(effect)
+
+
+_BLANK = r"[ \t\r\n]*+"
+
+
+def _list_items(spark: SparkSession, path: str) -> DataFrame:
+    """(file, place, item, good): objects of files that each hold one list, and one row per file for its end.
+
+    ``item`` is null where a row is no object. ``good`` is false where a file is not a list of objects.
+    """
+    rows = blocks.records(blocks.pieces(spark, path, "}", _list_effect), "}", 1)
+    before = F.when(F.col("first"), rf"^\x{{FEFF}}?{_BLANK}\[{_BLANK}").otherwise(rf"^{_BLANK},{_BLANK}")
+    after = F.when(F.col("first"), rf"^\x{{FEFF}}?{_BLANK}\[{_BLANK}\]{_BLANK}$").otherwise(rf"^{_BLANK}\]{_BLANK}$")
+    pattern = F.when(F.col("last"), after).otherwise(F.concat(before, F.lit(r"(?=\{)")))
+    good = F.regexp_like("text", pattern)
+    item = F.when(~F.col("last") & good, F.regexp_replace("text", F.concat(before, F.lit(r"(?=\{)")), F.lit("")))
+    return rows.select("file", blocks.file_order().alias("place"), item.alias("item"), good.alias("good"))
+
+
+def _inferred(items: DataFrame, quarantine: bool) -> T.StructType:
+    """The fields of objects that lie in the column ``item``; line breaks between values do not matter."""
+    path = write_scratch(items.where("item IS NOT NULL").select(F.translate("item", "\r\n", "  ").alias("value")), "items", "text")
+    spark = items.sparkSession
+    found = spark.read.options(mode="DROPMALFORMED" if quarantine else "FAILFAST").json(path).schema
+    drop_path(spark, path)
+    return found
 
 
-def _parsed_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """(file, value, _row) of every line that is not blank; broken ones fill ``CORRUPT`` of ``_row``."""
-    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), "value").where(F.length(F.trim("value")) > 0)
-    fields = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    return lines.withColumn("_row", F.from_json("value", fields, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}))
+def _broken_lists(items: DataFrame, fields: T.StructType) -> DataFrame:
+    """Files that are no list of objects, or hold an object that does not parse."""
+    row = _parsed(F.col("item"), fields)
+    bad = ~F.col("good") | (F.col("item").isNotNull() & (row.isNull() | row[CORRUPT].isNotNull()))
+    return items.where(bad).select("file").distinct()
 
 
 def read_json_array(
@@ -80,50 +126,114 @@ def read_json_array(
 ) -> DataFrame:
     """Files that each hold one JSON list of objects.
 
-    A file that is no list, or a broken one, fails the job; with ``quarantine`` such files give no rows
-    here and are found by ``malformed_json``. A file without a byte has no rows. A file cannot be split: one task reads it. Pass a schema
-    to avoid reading it twice, and keep large data as JSON Lines or parquet.
+    A file that is no list, holds anything but objects or goes on behind the list fails the job; with
+    ``quarantine`` such files give no rows here and are found by ``malformed_json``. A file without a byte has
+    no rows. Many tasks read a file, whatever its line breaks. Pass a schema to avoid an extra pass.
     """
     _files(spark, path)
-    fields = _schema(spark, path, schema, quarantine, multiLine=True)
-    files = _parsed_lists(spark, path, fields, "PERMISSIVE" if quarantine else "FAILFAST")
+    items = _list_items(spark, path)
+    if schema is None:
+        items = materialize(items, "items")
+    fields = _inferred(items, quarantine) if schema is None else _fields(schema)
+    if quarantine:
+        items = items.join(_broken_lists(items, fields), "file", "left_anti").where("item IS NOT NULL")
+    rows = items.withColumn("_row", _parsed(F.col("item"), fields))
     if not quarantine:
-        refusal = F.raise_error(F.concat(F.lit("a JSON list is wanted in "), "file"))
-        files = files.withColumn("_list", F.when(F.col("_whole"), F.col("_list")).otherwise(refusal))
-    return with_row_id(files.select(F.inline("_list")))
+        sound = F.col("_row").isNotNull() & F.col(f"_row.{CORRUPT}").isNull()
+        # One condition: a filter beside it could take the rows that have to fail away first.
+        wanted = F.when(F.col("item").isNull(), False).when(sound, True).otherwise(_refused("Malformed JSON").cast("boolean"))
+        rows = rows.where(F.when(F.col("good"), wanted).otherwise(_refused("a JSON list is wanted").cast("boolean")))
+    return _numbered(rows, fields)
+
+
+def _numbered(rows: DataFrame, fields: T.StructType) -> DataFrame:
+    """The parsed fields, with ``row_id`` in file order unless they have one."""
+    columns = [F.col("_row").getField(f.name).alias(f.name) for f in fields.fields]
+    return rows.select(*columns, *([] if "row_id" in fields.names else [F.col("place").alias("row_id")]))
+
+
+def _one_object(text: Column) -> Column:
+    """Whether a text is one JSON object and nothing else: a mark put behind it is found behind it."""
+    trimmed = F.btrim(text, F.lit(" \t\r\n\ufeff"))
+    probe = F.from_json(F.concat(F.lit("["), trimmed, F.lit(f',{{"_end":{_MARK}}}]')), "array<struct<_end:bigint>>")
+    return trimmed.startswith("{") & F.coalesce((F.size(probe) == 2) & (F.element_at(probe, -1)["_end"] == _MARK), F.lit(False))
+
+
+def _lines(spark: SparkSession, path: str, fields: T.StructType) -> DataFrame:
+    """(file, place, value, _row, sound) of every line that is not blank."""
+    read = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("place"), "value")
+    lines = read.where(F.length(F.btrim("value", F.lit(" \t\r\n\ufeff"))) > 0).withColumn("_row", _parsed(F.col("value"), fields))
+    return lines.withColumn("sound", _one_object(F.col("value")) & F.col("_row").isNotNull() & F.col(f"_row.{CORRUPT}").isNull())
 
 
 def read_json_lines(
     spark: SparkSession, path: str, schema: T.StructType | str | None = None, quarantine: bool = False
 ) -> DataFrame:
-    """One JSON object per line. A broken line fails the job; with ``quarantine`` it gives no row here
-    and is found by ``malformed_json``."""
+    """One JSON object per line. A line that does not parse, or holds more than one object, fails the job;
+    with ``quarantine`` it gives no row here and is found by ``malformed_json``."""
     _files(spark, path)
-    if quarantine:
-        fields = _schema(spark, path, schema, quarantine)
-        return with_row_id(_parsed_lines(spark, path, fields).where(F.col(f"_row.{CORRUPT}").isNull()).select("_row.*").drop(CORRUPT))
-    reader = spark.read.option("mode", "FAILFAST")
-    return with_row_id((reader.schema(schema) if schema else reader).json(path))
+    if schema is None:
+        schema = spark.read.options(mode="DROPMALFORMED" if quarantine else "FAILFAST").json(path).schema
+    fields = _fields(schema)
+    lines = _lines(spark, path, fields)
+    keep = F.col("sound") if quarantine else F.when(F.col("sound"), True).otherwise(_refused("Malformed JSON").cast("boolean"))
+    return _numbered(lines.where(keep), fields)
 
 
 def malformed_json(spark: SparkSession, path: str, schema: T.StructType | str, lists: bool = False) -> DataFrame:
     """(file, value) of the lines, or with ``lists`` of the whole files, that readers with ``quarantine`` leave out."""
     _files(spark, path)
-    fields = _schema(spark, path, schema, True)
-    if lists:
-        return _parsed_lists(spark, path, fields, "PERMISSIVE").where(F.col("_list").isNull()).select("file", "value")
-    return _parsed_lines(spark, path, fields).where(F.col(f"_row.{CORRUPT}").isNotNull()).select("file", "value")
+    fields = _fields(schema)
+    if not lists:
+        return _lines(spark, path, fields).where(~F.col("sound")).select("file", "value")
+    texts = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
+    return texts.join(_broken_lists(_list_items(spark, path), fields), "file", "left_semi")
+
+
+def _csv_effect(rows: DataFrame) -> DataFrame:
+    """Quote state of lines of CSV for both starts: a quote opens at the beginning of a cell, a single one closes.
+
+    A doubled quote leaves the state as it is, wherever it stands.
+    """
+
+    def without_cells(name: str) -> Column:
+        """The line without its closed quoted cells: a quote that is left at a cell's beginning is open."""
+        return F.when(F.contains(F.col(name), F.lit('"')), F.regexp_replace(name, r'(^|,)"[^"]*+"[^,]*+', "$1")).otherwise(F.lit(""))
+
+    def opened(name: str) -> Column:
+        return F.when(F.col(name).startswith('"') | F.contains(F.col(name), F.lit(',"')), 1).otherwise(0)
+
+    single = rows.withColumn("_single", F.replace("value", F.lit('""'), F.lit("")))
+    # A rest behind a closed quote begins with a comma or is empty, so it cannot open at its beginning.
+    cut = single.withColumn("_rest", F.regexp_replace("_single", r'^[^"]*+"[^,]*+', ""))
+    left = cut.withColumns({"_left0": without_cells("_single"), "_left1": without_cells("_rest")})
+    end1 = F.when(F.contains(F.col("_single"), F.lit('"')), opened("_left1")).otherwise(1)
+    return left.withColumns({"end0": opened("_left0"), "end1": end1, "add0": F.lit(0), "add1": F.lit(0)})
 
 
 def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """CSV with a header; every column is text and missing-value markers become null.
+    """CSV with a header in every file; every column is text and missing-value markers become null.
 
-    Quoted cells may hold line breaks, which makes a file one task. ``multi_line=False`` splits
-    files whose cells are known to have none.
+    Quoted cells may hold line breaks; many tasks read a file all the same. ``multi_line=False`` saves the
+    pass that finds out which line breaks are quoted, for files whose cells are known to have none.
     """
     _files(spark, path)
-    table = spark.read.csv(path, header=True, multiLine=multi_line, quote='"', escape='"', inferSchema=False)
-    return with_row_id(table.select(*[F.when(~F.col(f"`{c}`").isin(CSV_MISSING), F.col(f"`{c}`")).alias(c) for c in table.columns]))
+    layout = {"quote": '"', "escape": '"'}
+    if not multi_line:
+        table = spark.read.csv(path, header=True, multiLine=False, inferSchema=False, **layout)
+        return with_row_id(table.select(*[_csv_cell(F.col(f"`{c}`")).alias(c) for c in table.columns]))
+    names = spark.read.csv(path, header=True, multiLine=True, inferSchema=False, **layout).columns
+    rows = blocks.records(blocks.pieces(spark, path, "\n", _csv_effect), "\n", 0)
+    line = F.regexp_replace("text", r"\r?\n?$", "")
+    cells = ", ".join(f"_{i} string" for i in range(len(names)))
+    lines = rows.where(~F.col("first")).select(blocks.file_order().alias("place"), line.alias("line")).where("line <> ''")
+    parsed = lines.select("place", F.from_csv("line", cells, {**layout, "multiLine": "true"}).alias("_row"))
+    columns = [_csv_cell(F.col(f"_row._{i}")).alias(c) for i, c in enumerate(names)]
+    return parsed.select(*columns, *([] if "row_id" in names else [F.col("place").alias("row_id")]))
+
+
+def _csv_cell(cell: Column) -> Column:
+    return F.when(~cell.isin(CSV_MISSING), cell)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:

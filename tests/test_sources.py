@@ -1,9 +1,12 @@
+import csv
 import json
+import random
 
+import numpy as np
 import pytest
 
 from loomset.operators.unify import to_unified
-from loomset.sources import readers, sinks
+from loomset.sources import blocks, readers, sinks
 
 
 def test_json_array(spark, tmp_path):
@@ -82,8 +85,6 @@ def samples(spark):
 
 
 def test_review_csv(spark, tmp_path):
-    import csv
-
     sinks.write_review_csv(samples(spark), str(tmp_path / "csv"))
     rows = []
     for part in sorted((tmp_path / "csv").glob("part-*.csv")):
@@ -114,3 +115,113 @@ def test_review_markdown(spark, tmp_path):
         "## Sample 2\n\n**Prompt:**\n```\np2\n```\n\n**Generated:**\n```\ng2\n```\n\n"
         "**Rating:** [ ] 1  [ ] 2  [ ] 3  [ ] 4  [ ] 5\n\n**Notes:**\n\n---\n\n"
     )
+
+
+# ------------------------------------------------------------------ files cut anywhere
+
+LISTS = [
+    '[{"a": 1}] [{"a": 2}]', '[{"a": 1}] junk ]', '[{"a": 1}, null]', '[{"a": 1}, 7]', '[null, {"a": 1}]', '[{"a": 1}, [{"a": 2}]]',
+    '[{"a": 1} {"a": 2}]', '[{"a": 1},, {"a": 2}]', '[{"a": 1},]', '[{"a": "no number"}]', '[{"a": 1}', '[{"a": 1}]}', '[', ']', '"[]"',
+    '[{"a": [1}]]', '[{"a": 1}}]', '{"a": [{"a": 1}]}', '[{"a": 1}]\n[]',
+]
+
+
+@pytest.mark.parametrize("text", LISTS[:6])
+def test_whatever_is_no_list_of_objects_fails(spark, tmp_path, text):
+    (tmp_path / "bad.json").write_text(text)
+    with pytest.raises(Exception, match="JSON list is wanted|Malformed"):
+        readers.read_json_array(spark, str(tmp_path), "a bigint").collect()
+
+
+def test_whatever_is_no_list_of_objects_is_quarantined(spark, tmp_path):
+    (tmp_path / "good.json").write_text('[ {"a": 1} , {"a": 2}\n]\n')
+    (tmp_path / "empty.json").write_text("\n[ ]\n")
+    for i, text in enumerate(LISTS):
+        (tmp_path / f"bad{i}.json").write_text(text)
+    got = readers.read_json_array(spark, str(tmp_path), "a bigint", quarantine=True)
+    assert sorted(r["a"] for r in got.collect()) == [1, 2]
+    left = readers.malformed_json(spark, str(tmp_path), "a bigint", lists=True).collect()
+    assert sorted(r["value"] for r in left) == sorted(LISTS)
+
+
+def test_a_line_is_one_object(spark, tmp_path):
+    bad = ['{"a": 1} {"a": 2}', '{"a": 3} junk', '[{"a": 1}]', "null", "7", '{"a": 1}] x [{"a": 2}', '{"a": 1},{"a": 2}']
+    (tmp_path / "x.jsonl").write_text("\n".join(['{"a": 1}', " ", *bad, '  {"a": 2, "b": "} {"}  ']) + "\n")
+    got = readers.read_json_lines(spark, str(tmp_path), "a bigint", quarantine=True)
+    assert sorted(r["a"] for r in got.collect()) == [1, 2]
+    assert sorted(r["value"] for r in readers.malformed_json(spark, str(tmp_path), "a bigint").collect()) == sorted(bad)
+    for line in bad[:3]:
+        (tmp_path / "x.jsonl").write_text(line)
+        with pytest.raises(Exception, match="Malformed"):
+            readers.read_json_lines(spark, str(tmp_path), "a bigint").collect()
+
+
+@pytest.fixture
+def cut_into(spark):
+    old = {k: spark.conf.get(k, None) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+
+    def cut(size):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+
+    yield cut
+    for key, value in old.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def odd_records(n):
+    """Objects with braces, quotes and backslashes in strings, nested values and long strings."""
+    rng = random.Random(n)
+    words = ['"', "\\", "}", "{", "[", "]", ",", "é", "日本", "\n", "x", "]}", '\\"', " ", " "]
+    text = lambda k: "".join(rng.choice(words) for _ in range(rng.randint(0, k)))
+    return [{"id": i, "s": text(12), "n": {"t": text(5), "l": [{"u": text(3)}] * (i % 3)}, "long": text(400 if i % 17 == 0 else 2)} for i in range(n)]
+
+
+@pytest.mark.parametrize("size, layout", [(64, "one line"), (333, "spread"), (1 << 20, "spaced")])
+def test_lists_are_read_in_blocks(spark, tmp_path, cut_into, size, layout):
+    cut_into(size)
+    rows = odd_records(150)
+    options = {"one line": {"separators": (",", ":")}, "spread": {"indent": 2}, "spaced": {}}[layout]
+    for k in range(3):
+        part = rows[k * 50 : (k + 1) * 50]
+        (tmp_path / f"{k}.json").write_text(json.dumps(part, ensure_ascii=k == 1, **options), encoding="utf-8")
+    schema = "id bigint, s string, n struct<t:string,l:array<struct<u:string>>>, long string"
+    for given in (schema, None):
+        df = readers.read_json_array(spark, str(tmp_path), given)
+        got = [r.asDict(recursive=True) for r in df.orderBy("row_id").collect()]
+        assert [{k: r[k] for k in rows[0]} for r in got] == rows
+        assert len({r["row_id"] for r in got}) == 150
+    if size == 64:
+        assert blocks.block_effects(blocks.pieces(spark, str(tmp_path), "}", readers._list_effect)).count() > 50
+
+
+@pytest.mark.parametrize("size, line_end, broadcast", [(64, "\n", True), (64, "\r\n", False), (333, "\r\n", True), (1 << 20, "\n", False)])
+def test_csv_is_read_in_blocks(spark, tmp_path, cut_into, size, line_end, broadcast, monkeypatch):
+    cut_into(size)
+    if not broadcast:
+        monkeypatch.setattr(blocks, "BROADCAST_BYTES", 0)
+    rng = random.Random(7)
+    cells = ["", "x", 'a "b" c', "line" + line_end + "break", line_end * 3, ",", '"', '""', "é,日", '","', "N/A", "x" * 300, line_end + '"']
+    rows = [[str(i), rng.choice(cells), rng.choice(cells)] for i in range(240)]
+    for k in range(2):
+        with open(tmp_path / f"{k}.csv", "w", newline="", encoding="utf-8") as f:
+            writer = csv.writer(f, lineterminator=line_end, quoting=csv.QUOTE_ALL if k else csv.QUOTE_MINIMAL)
+            writer.writerow(["doc", "a", "b"])
+            writer.writerows(rows[k * 120 : (k + 1) * 120])
+            if k:
+                f.write(line_end + '240,5" pipe,last')  # a blank line, a quote inside a cell, no line end
+    want = [[i, *(None if c in readers.CSV_MISSING else c for c in cells)] for i, *cells in [*rows, ["240", '5" pipe', "last"]]]
+    got = readers.read_csv(spark, str(tmp_path)).orderBy("row_id").collect()
+    assert [list(r)[:3] for r in got] == want
+
+
+def test_states_under_both_starts():
+    rng = random.Random(4)
+    for _ in range(200):
+        n = rng.randint(0, 12)
+        end0, end1 = (np.array([rng.randint(0, 1) for _ in range(n)], np.int64) for _ in range(2))
+        for start in (0, 1):
+            states = [start]
+            for a, b in zip(end0, end1):
+                states.append(int(b if states[-1] else a))
+            assert blocks.states_of(end0, end1, start).tolist() == states
