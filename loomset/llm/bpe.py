@@ -39,7 +39,7 @@ from loomset.llm.common import fresh
 
 MAX_FILE = 32 << 20
 # Pieces or words a task remembers, and bytes of text it takes in before it hands rows on.
-_KNOWN = 250_000
+_KNOWN = 600_000
 _CHARS = 1 << 21
 _SHORT = 64  # symbols up to which scanning beats a heap
 _HEAD = 3  # symbols that tell how long an entry can be
