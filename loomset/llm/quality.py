@@ -7,7 +7,9 @@
 2. Pooling. A document is the mean and the spread of its words' normalised vectors, and the logarithm of
    its word count. The whole text is read. A text without words pools to zeros and is scored like any other.
 3. Network. Two layers in numpy, fitted on the driver with at most ``MAX_TRAIN`` labelled documents:
-   those with the smallest hash of doc_id among the rows allowed for training. One fifth of them is set
+   those with the smallest hash of id, label and vector among the rows allowed for training; rows equal in
+   all three count once. The tasks filter them by a threshold that counts of hashes give, so the driver
+   receives no others. One fifth of them is set
    aside to fit the temperature that calibrates probabilities.
 
 Rows whose crc32 of the doc_id's text leaves 2 modulo 4 are held out: their labels are never read. Labels,
@@ -194,13 +196,41 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
+def training_rows(rows: DataFrame, most: int) -> DataFrame:
+    """The ``most`` rows with the smallest hash ``h``, which is hexadecimal and unique.
+
+    Counts per hash prefix, at most 4,096 numbers a time, find the threshold; the prefix that holds it is
+    counted by its next digits. Tasks then filter, so no more than ``most`` rows leave them.
+    """
+    prefix, room = "", most
+    while len(prefix) < 64:
+        width = len(prefix) + 3
+        inside = rows.where(F.col("h").startswith(prefix)) if prefix else rows
+        counts = sorted((r[0], r[1]) for r in inside.groupBy(F.substring("h", 1, width)).count().collect())
+        full = None
+        for start, n in counts:
+            if n > room:
+                full = start
+                break
+            room -= n
+        if full is None:  # everything inside fits
+            return rows if not prefix else rows.where(F.substring("h", 1, len(prefix)) <= prefix)
+        prefix = full
+        if room == 0:
+            break
+    return rows.where(F.substring("h", 1, len(prefix)) < prefix)
+
+
 def score(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "quality", result: str = "score", max_train: int = MAX_TRAIN) -> DataFrame:
     """``docs`` without ``text``, with the calibrated probability of label 1 in ``result``."""
     vectors = word_vectors(docs, text)
     (features,) = fresh(docs, "_features")
     pooled = materialize(pool(docs, vectors, text, features), "pooled")
     allowed = labels.where(~held_out(F.col("doc_id")) & F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", F.col(label).alias("y"))
-    chosen = allowed.join(pooled.select("doc_id", F.col(features).alias("x")), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(max_train).collect()
+    labelled = allowed.join(pooled.select("doc_id", F.col(features).alias("x")), "doc_id")
+    key = F.sha2(F.concat_ws(":", F.col("doc_id").cast("string"), F.col("y").cast("string"), F.col("x").cast("string")), 256)
+    known = materialize(labelled.withColumn("h", key).dropDuplicates(["h"]), "labelled")
+    chosen = sorted(training_rows(known, max_train).collect(), key=lambda r: r["h"])  # at most max_train rows
     x = np.array([r["x"] for r in chosen], np.float64).reshape(len(chosen), -1 if chosen else 1)
     net = fit(x, np.array([r["y"] for r in chosen], np.float64))
     shared = docs.sparkSession.sparkContext.broadcast(net)

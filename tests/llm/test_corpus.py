@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from loomset.llm.mixing import leaf_budgets, mix
-from loomset.llm.quality import fit, keep_good, probabilities, quality_scores
+from loomset.llm.quality import fit, keep_good, probabilities, quality_scores, training_rows
 from loomset.llm.token_counts import commit, count_tokens, deletes, inserts, revisions, rollup_history, totals, without_repeated_lines
 from loomset.llm.warc import ARC_FIELDS, archive_round_trip, iso_date, parse_arc
 from loomset.session import scratch_path
@@ -131,3 +131,21 @@ def test_pipeline_stages(spark):
     out = corpus_pipeline.run(spark, SF)
     ids = [r["doc_id"] for r in out.select("doc_id").collect()]
     assert 0 < len(ids) == len(set(ids)) < docs.count()
+
+
+def test_training_rows_are_bounded_in_the_tasks(spark):
+    """200 partitions: every task sends its share of the chosen rows, not a full sample of its own."""
+    df = spark.range(0, 20_000, 1, 200).select(F.col("id").alias("doc_id"), F.sha2(F.col("id").cast("string"), 256).alias("h"))
+    hashes = sorted(hashlib.sha256(str(i).encode()).hexdigest() for i in range(20_000))
+    for most in (0, 1, 7, 500, 4_096, 19_999, 20_000, 50_000):
+        taken = training_rows(df, most)
+        assert sorted(r["h"] for r in taken.collect()) == hashes[: min(most, 20_000)]
+        assert taken.groupBy(F.spark_partition_id()).count().count() <= min(most, 200)
+    assert training_rows(df.limit(0), 10).count() == 0
+
+
+def test_one_id_with_many_labels_leaves_room_for_the_rest(spark):
+    docs = spark.createDataFrame([(i, ("good words here " if i % 2 else "zz qq xx ") * 5) for i in range(60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(0, 0)] * 500, "doc_id long, quality int")
+    scores = {r["doc_id"]: r["score"] for r in quality_scores(docs, labels).collect()}
+    assert min(scores[i] for i in range(1, 60, 2)) > max(scores[i] for i in range(0, 60, 2))
