@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from bisect import bisect_left
+from dataclasses import dataclass
 from functools import reduce
 from itertools import accumulate
 from operator import or_
@@ -47,31 +48,87 @@ class Histogram:
         return self.parent + self.prefixes[at], rank - before, self.ends[at] - before
 
 
+@dataclass(frozen=True)
+class Cut:
+    """The last row of a stretch in hash order. Rows of equal hash are told apart by ``content``, then by
+    ``position``, where the stretch ends among them."""
+
+    h: str
+    content: int | None = None
+    position: int | None = None
+
+
+def content_hash(df: DataFrame) -> Column:
+    """A 64-bit number of a row's values; columns that cannot be hashed do not count."""
+    names = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString() and f.dataType.simpleString() != "variant"]
+    return F.xxhash64(*[F.col(f"`{c}`") for c in names])
+
+
 def hash_keys(df: DataFrame, row_id: str, seed: int) -> DataFrame:
-    return df.select(F.col(row_id).alias("_id"), seeded_hash(row_id, seed).alias("_h"))
+    """(_h, _c, _n): order key, content and position of every row."""
+    return df.select(seeded_hash(row_id, seed).alias("_h"), content_hash(df).alias("_c"), F.monotonically_increasing_id().alias("_n"))
 
 
-def cut_points(keys: DataFrame, top: Histogram, ranks: list[int]) -> list[tuple[str, int]]:
-    """``(hash, row id)`` of the rows with these exact ranks in hash order.
+def _select_number(rows: DataFrame, name: str, rank: int) -> tuple[int, int]:
+    """The value of this 1-based rank in a column of longs, and the rank among the rows of that value.
 
-    Counts per prefix narrow the search 65,536-fold per pass over the id column; only the last,
-    small buckets are read as rows, in one pass. Nothing is shuffled but counts.
+    Four passes count the next 16 bits, at most 65,536 numbers each.
+    """
+    value = F.col(name).bitwiseXOR(F.lit(-(1 << 63)))  # in the order of unsigned numbers
+    found = 0
+    for shift in (48, 32, 16, 0):
+        above = shift + 16
+        inside = rows if above == 64 else rows.where(F.shiftrightunsigned(value, above) == F.lit(found))
+        part = F.shiftrightunsigned(value, shift).bitwiseAND(F.lit(0xFFFF))
+        counts = sorted((r["p"], r["n"]) for r in inside.groupBy(part.alias("p")).agg(F.count("*").alias("n")).collect())
+        for digit, n in counts:
+            if rank <= n:
+                break
+            rank -= n
+        found = (found << 16) | digit
+    return found - (1 << 63), rank
+
+
+def cut_points(keys: DataFrame, top: Histogram, ranks: list[int]) -> list[Cut]:
+    """The rows of these exact ranks in the order of hash, content and position.
+
+    Counts per prefix narrow the search 65,536-fold per pass over the id column; only small buckets are read
+    as rows, in one pass. Where many rows share a hash, counts over their contents and positions go on, so
+    a cut inside an id that repeats costs passes, not rows.
     """
-    found = []
+    found, small = [], []
     for rank in ranks:
         prefix, inner, size = top.locate(rank)
         while size > SMALL_BUCKET and len(prefix) < 32:
             prefix, inner, size = Histogram(keys, prefix).locate(inner)
-        found.append((prefix, inner))
-    if not found:
-        return []
-    wanted = reduce(or_, [F.col("_h").startswith(prefix) for prefix, _ in found])
-    rows = sorted((r["_h"], r["_id"]) for r in keys.where(wanted).collect())
-    return [[row for row in rows if row[0].startswith(prefix)][inner - 1] for prefix, inner in found]
-
-
-def at_or_before(h: Column, row_id: Column, cut: tuple[str, int]) -> Column:
-    return (h < cut[0]) | ((h == cut[0]) & (row_id <= F.lit(cut[1])))
+        if size <= SMALL_BUCKET:
+            small.append(prefix)
+            found.append((prefix, inner, None))
+        else:
+            same = keys.where(F.col("_h") == prefix)
+            content, inner = _select_number(same, "_c", inner)
+            position, _ = _select_number(same.where(F.col("_c") == content), "_n", inner)
+            found.append((prefix, inner, Cut(prefix, content, position)))
+    rows = []
+    if small:
+        wanted = reduce(or_, [F.col("_h").startswith(prefix) for prefix in small])
+        rows = sorted((r["_h"], r["_c"], r["_n"]) for r in keys.where(wanted).collect())  # SMALL_BUCKET rows a rank
+    cuts = []
+    for prefix, inner, cut in found:
+        if cut is None:
+            bucket = [row for row in rows if row[0].startswith(prefix)]
+            h, content, position = bucket[inner - 1]
+            ends_there = inner == len(bucket) or bucket[inner][0] != h
+            cut = Cut(h) if ends_there else Cut(h, content, position)
+        cuts.append(cut)
+    return cuts
+
+
+def at_or_before(h: Column, content: Column, position: Column, cut: Cut) -> Column:
+    if cut.content is None:
+        return h <= cut.h
+    same = (content < cut.content) | ((content == cut.content) & (position <= cut.position))
+    return (h < cut.h) | ((h == cut.h) & same)
 
 
 def rank_by_hash(df: DataFrame, row_id: str, seed: int, name: str) -> DataFrame:
@@ -81,7 +138,7 @@ def rank_by_hash(df: DataFrame, row_id: str, seed: int, name: str) -> DataFrame:
     table has at most 65,536 rows and is broadcast.
     """
     spark = df.sparkSession
-    histogram = Histogram(hash_keys(df, row_id, seed))
+    histogram = Histogram(hash_keys(df, row_id, seed).select("_h"))
     before = [0] + histogram.ends[:-1] if histogram.ends else []
     shifts = spark.createDataFrame(list(zip(histogram.prefixes, before)), "_p string, _before bigint")
     hashed = df.withColumn("_h", seeded_hash(row_id, seed)).withColumn("_p", F.substring("_h", 1, PREFIX))

@@ -12,6 +12,7 @@ from loomset.functions.ordering import (
     PREFIX,
     Histogram,
     at_or_before,
+    content_hash,
     cut_points,
     hash_keys,
     rank_by_hash,
@@ -69,7 +70,9 @@ def random_split(
     """Adds ``split``. Sizes are exact and the same seed gives the same rows.
 
     Rows are ordered by a seeded hash of their id. Two cut points in that order decide every row
-    by comparison, so the rows themselves are neither shuffled nor sorted.
+    by comparison, so the rows themselves are neither shuffled nor sorted. Rows that share an id go by
+    their values, and equal rows by their position, so that sizes are exact then, too, if ``df`` gives its
+    rows in the same order whenever it is read, as files do.
     """
     check_ratios(train, val, test)
     if stratify and stratify in df.columns:
@@ -78,12 +81,16 @@ def random_split(
     histogram = Histogram(keys)
     _check_size(histogram.total)
     _, n_val, n_test = split_sizes(histogram.total, val, test)
-    h, rid = seeded_hash(row_id, seed), F.col(row_id)
     split = F.lit("train")
     ends = [(name, end) for name, end, size in (("validation", n_test + n_val, n_val), ("test", n_test, n_test)) if size]
     for (name, _), cut in zip(ends, cut_points(keys, histogram, [end for _, end in ends])):
-        split = F.when(at_or_before(h, rid, cut), name).otherwise(split)
-    return df.withColumn("split", split)
+        split = F.when(at_or_before(F.col("_h"), F.col("_c"), F.col("_n"), cut), name).otherwise(split)
+    return _with_keys(df, row_id, seed).select(*[f"`{c}`" for c in df.columns if c != "split"], split.alias("split"))
+
+
+def _with_keys(df: DataFrame, row_id: str, seed: int) -> DataFrame:
+    """``df`` with its order key, content and position; those that no cut needs are pruned."""
+    return df.select("*", seeded_hash(row_id, seed).alias("_h"), content_hash(df).alias("_c"), F.monotonically_increasing_id().alias("_n"))
 
 
 def _label_text(df: DataFrame, column: str):
@@ -154,5 +161,6 @@ def seeded_sample(df: DataFrame, n: int = 20, seed: int = 42, row_id: str = "row
     histogram = Histogram(keys)
     if n < histogram.total:
         (cut,) = cut_points(keys, histogram, [n])
-        df = df.where(at_or_before(seeded_hash(row_id, seed), F.col(row_id), cut))
+        wanted = at_or_before(F.col("_h"), F.col("_c"), F.col("_n"), cut)
+        df = _with_keys(df, row_id, seed).where(wanted).select(*[f"`{c}`" for c in df.columns])
     return rank_by_hash(df, row_id, seed, "sample_id")

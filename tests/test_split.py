@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -120,3 +121,31 @@ def test_ranks_and_positions(spark):
     assert [r["at"] for r in got] == list(range(801))
     batches = batch_ids(df, 4).groupBy("batch_id").agg(F.count("*").alias("n")).collect()
     assert sorted(r["n"] for r in batches) == [1] + [4] * 200
+
+
+@pytest.mark.parametrize("small", [10, 10_000])
+def test_ids_that_repeat(spark, tmp_path, small, monkeypatch):
+    """A cut falls inside equal ids, and inside equal rows, without reading them."""
+    monkeypatch.setattr(ordering, "SMALL_BUCKET", small)
+    equal = spark.range(0, 30_000, 1, 8).select(F.lit(7).alias("row_id"), F.lit("same").alias("text"))
+    told = spark.range(0, 30_000, 1, 8).select(F.lit(7).alias("row_id"), F.concat(F.lit("t"), F.col("id")).alias("text"))
+    mixed = told.limit(2_000).unionByName(spark.range(1_000).select(F.col("id").cast("int").alias("row_id"), F.lit("x").alias("text")))
+    for name, rows, n in (("equal", equal, 30_000), ("told", told, 30_000), ("mixed", mixed, 3_000)):
+        rows.write.parquet(str(tmp_path / name))
+        df = spark.read.parquet(str(tmp_path / name))
+        sizes = {r["split"]: r["count"] for r in random_split(df).groupBy("split").count().collect()}
+        assert sizes == {"train": n * 9 // 10, "validation": n // 20, "test": n // 20}
+        monkeypatch.setattr(split_module, "TOP_N_SAMPLE", 10)
+        places = [r["sample_id"] for r in seeded_sample(df, 500).collect()]
+        assert sorted(places) == list(range(1, 501))
+    assert "Exchange" not in random_split(df)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_numbers_are_selected_by_rank(spark):
+    rng = random.Random(3)
+    values = [rng.choice([0, -1, 5, 2**63 - 1, -(2**63), rng.randrange(-(2**63), 2**63)]) for _ in range(400)]
+    df = spark.createDataFrame([(v,) for v in values], "v bigint").repartition(4)
+    order = sorted(values)
+    for rank in (1, 57, 200, 399, 400):
+        value, inner = ordering._select_number(df, "v", rank)
+        assert value == order[rank - 1] and inner == rank - order.index(value)
