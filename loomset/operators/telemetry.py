@@ -467,30 +467,52 @@ def _walk_smallest(k: int):
     return walk
 
 
+def admitted(losses: np.ndarray, kept: list[float], k: int) -> tuple[np.ndarray, list[float]]:
+    """Whether each loss enters the ``k`` smallest so far, and those after the last.
+
+    ``kept`` are the smallest losses before. Only a loss below the largest of them enters, so the loop jumps
+    from one such loss to the next, in growing strides.
+    """
+    worst_first = [-x for x in kept]
+    heapq.heapify(worst_first)
+    enters, at, n = np.zeros(len(losses), bool), 0, len(losses)
+    while at < n and len(worst_first) < k:
+        heapq.heappush(worst_first, -losses[at])
+        enters[at] = True
+        at += 1
+    stride = 16
+    while at < n:
+        below = losses[at : at + stride] < -worst_first[0]
+        first = int(below.argmax())
+        if not below[first]:
+            at += stride
+            stride *= 2
+            continue
+        at += first
+        heapq.heapreplace(worst_first, -losses[at])
+        enters[at] = True
+        at, stride = at + 1, 16
+    return enters, [-x for x in worst_first]
+
+
 def _admit(k: int):
     """Admission per row; each chunk begins with the row that carries the losses kept so far."""
 
     def admit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        worst_first: list[float] = []
+        kept: list[float] = []
         for pdf in batches:
             marker, kept_in = pdf["step"].isna().to_numpy(), pdf["kept_in"].to_numpy()
-            losses = pdf["eval_loss"].tolist()
-            admitted = []
+            losses = pdf["eval_loss"].to_numpy(dtype=float, na_value=np.nan)
+            parts = []
             for start, end in _segments(pdf):
                 if marker[start]:
-                    worst_first = [-x for x in kept_in[start]]
-                    heapq.heapify(worst_first)
+                    kept = list(kept_in[start])
                     start += 1
-                for loss in losses[start:end]:
-                    free = len(worst_first) < k
-                    enters = free or loss < -worst_first[0]
-                    if free:
-                        heapq.heappush(worst_first, -loss)
-                    elif enters:
-                        heapq.heapreplace(worst_first, -loss)
-                    admitted.append(enters)
-            out = pdf.loc[~marker, ["run_id", "step", "eval_loss"]].astype({"step": "int64"})
-            yield out.assign(admitted=admitted)
+                enters, kept = admitted(losses[start:end], kept, k)
+                parts.append(enters)
+            if parts:
+                out = pdf.loc[~marker, ["run_id", "step", "eval_loss"]].astype({"step": "int64"})
+                yield out.assign(admitted=np.concatenate(parts))
 
     return admit
 

@@ -225,3 +225,19 @@ def test_states_go_on_from_earlier_ones(spark):
     left = first.groupBy("run_id").agg(telemetry.F.max_by("best_loss", "step").alias("best_loss"), telemetry.F.max_by("wait_count", "step").alias("wait_count"))
     rest = early_stopping_states(df.where("step >= 130 OR run_id = 'new'"), 3, 0.01, 16, start=left)
     assert {(r["run_id"], r["step"]): repr(tuple(r)[2:]) for r in first.unionByName(rest).collect()} == whole
+
+
+def test_admission_jumps_to_the_same_rows():
+    rng = random.Random(12)
+    for _ in range(200):
+        n, k = rng.randint(0, 300), rng.randint(1, 6)
+        losses = [rng.choice([round(rng.random(), 2), math.inf, 1 - i / 300]) for i in range(n)]
+        kept = sorted(rng.random() for _ in range(rng.randint(0, k)))
+        want, best = [], list(kept)
+        for x in losses:
+            enters = len(best) < k or x < max(best)
+            want.append(enters)
+            if enters:
+                best = sorted([*best, x])[:k]
+        enters, left = telemetry.admitted(np.array(losses, float), kept, k)
+        assert enters.tolist() == want and sorted(left) == best
