@@ -24,6 +24,15 @@ def _source(spark: SparkSession, args: argparse.Namespace) -> str | DataFrame:
     return read_split(spark, root or ".", name, args.split)
 
 
+def _reader_options(args: argparse.Namespace) -> dict:
+    """What was asked of the reader of ``--source``; a split of a table has no options."""
+    given = {"schema": args.schema, "quarantine": args.quarantine or None, "multi_line": False if args.plain_csv else None}
+    options = {k: v for k, v in given.items() if v is not None}
+    if options and args.split:
+        raise SystemExit("--split takes no reader options")
+    return options
+
+
 def _show(job: Prepared) -> None:
     for name, value in job.stats.first().asDict().items():
         print(f"{name}: {value}")
@@ -38,6 +47,7 @@ def _prepare(spark: SparkSession, args: argparse.Namespace) -> None:
         prepare_dataset(
             spark,
             _source(spark, args),
+            reader_options=_reader_options(args),
             layout=args.format,
             template=args.template or "alpaca",
             min_len=args.min_len,
@@ -51,7 +61,7 @@ def _prepare(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def _training(spark: SparkSession, args: argparse.Namespace) -> None:
-    _show(prepare_training_set(spark, _source(spark, args), template=args.template, out=args.output_dir))
+    _show(prepare_training_set(spark, _source(spark, args), reader_options=_reader_options(args), template=args.template, out=args.output_dir))
 
 
 def _evaluate(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -83,6 +93,9 @@ def parser() -> argparse.ArgumentParser:
         command.set_defaults(run=run)
         command.add_argument("--source", required=True, help="JSON list, JSON Lines, CSV or parquet")
         command.add_argument("--split", help="read this split of a table partitioned by split")
+        command.add_argument("--schema", help="fields of JSON, e.g. 'instruction string, output string'; found in the files by default")
+        command.add_argument("--quarantine", action="store_true", help="leave broken JSON out instead of failing")
+        command.add_argument("--plain-csv", action="store_true", help="cells of the CSV hold no line breaks")
         command.add_argument("--template", choices=template_names())
         command.add_argument("--output-dir", default="data/processed")
         return command

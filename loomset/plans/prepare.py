@@ -41,6 +41,7 @@ def prepare_dataset(
     source: str | DataFrame,
     *,
     source_format: str | None = None,
+    reader_options: dict | None = None,
     layout: str | None = None,
     template: str = "alpaca",
     min_len: int = MIN_LENGTH,
@@ -52,13 +53,15 @@ def prepare_dataset(
 ) -> Prepared:
     """Load, unify, profile, validate, render, split and (with ``out``) write.
 
+    ``reader_options`` go to the reader: ``schema`` and ``quarantine`` for JSON, ``multi_line`` for CSV.
+
     The input is scanned twice: once for statistics and removal counts together, once to write the
     kept rows. Only the second scan shuffles text, for deduplication. Splitting and writing read
     the kept table, and the split needs only its ids.
     """
     get_template(template)
     check_ratios(*ratios)
-    raw = load(spark, source, source_format) if isinstance(source, str) else with_row_id(source)
+    raw = load(spark, source, source_format, **(reader_options or {})) if isinstance(source, str) else with_row_id(source)
     keep = ("row_id", stratify) if stratify and stratify in raw.columns else ("row_id",)
     unified = to_unified(raw, layout, keep)
 

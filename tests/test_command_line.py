@@ -40,3 +40,19 @@ def test_evaluate_and_compare(spark, tmp_path, capsys):
     assert "  Best perplexity: tuned" in shown and "  Perplexity change: -4.67 (-63.2%)" in shown
     with pytest.raises(SystemExit):
         main(["unknown"], spark)
+
+
+def test_reader_options(spark, tmp_path, capsys):
+    path = tmp_path / "raw.jsonl"
+    path.write_text("\n".join([*map(json.dumps, ROWS), '{"instruction": ', '{"instruction": "a"} {"response": "b"}']))
+    command = ["prepare", "--source", str(path), "--schema", "instruction string, response string", "--output-dir", str(tmp_path / "out")]
+    main([*command, "--quarantine"], spark)
+    assert "num_samples: 100" in capsys.readouterr().out
+    with pytest.raises(Exception, match="Malformed"):
+        main(command, spark)
+    with pytest.raises(SystemExit):
+        main([*command, "--split", "train"], spark)
+    flat = tmp_path / "raw.csv"
+    flat.write_text("instruction,response\n" + "\n".join(f"question {i},reply number {i}" for i in range(30)))
+    main(["training-set", "--source", str(flat), "--plain-csv", "--output-dir", str(tmp_path / "out2")], spark)
+    assert "validation: 3 samples" in capsys.readouterr().out

@@ -515,6 +515,18 @@ ORACLES: dict[str, str] = {
         body="""SELECT run_id, 'Training Results:' AS title,
             '  Checkpoint: checkpoints/best/checkpoint-step-' || max(step) AS checkpoint FROM train_events GROUP BY run_id""",
     ),
+    "run_report_texts": with_(
+        "train_events",
+        body="""SELECT run_id, 'Training Results:' || coalesce(chr(10) || '  Training time: ' || format('{:.1f}', seconds) || 's', '')
+            || chr(10) || '  Checkpoint: checkpoints/best/checkpoint-step-' || last_step
+            || coalesce(chr(10) || '  Train loss: ' || format('{:.4f}', train_loss), '')
+            || coalesce(chr(10) || '  Eval loss: ' || format('{:.4f}', eval_loss), '')
+            || coalesce(chr(10) || '  Samples/sec: ' || format('{:.1f}', CASE WHEN seconds > 0 THEN samples / seconds END), '') AS summary
+            FROM (SELECT run_id, arg_max(loss, step) FILTER (WHERE loss IS NOT NULL) AS train_loss,
+                arg_max(eval_loss, step) FILTER (WHERE eval_loss IS NOT NULL) AS eval_loss, max(step) AS last_step,
+                sum(num_samples) AS samples, (epoch_us(max(ts)) - epoch_us(min(ts))) / 1000000.0 AS seconds
+                FROM train_events GROUP BY run_id)""",
+    ),
     "batch_generation": with_(
         "unified",
         body=f"""SELECT row_id, prompt, 'Answer: ' || prompt AS generated_text,
@@ -567,6 +579,10 @@ ORACLES: dict[str, str] = {
         "unified", "flagged",
         body=f"SELECT split, count(*) AS n FROM ({split_sql(KEPT, 'row_id', 0.1, 0.0, 42)}) GROUP BY split",
     ),
+    "prepare_training_rows": with_(
+        "unified", "flagged",
+        body=split_sql(f"(SELECT row_id, {TEXTS['llama3']['train']} AS text FROM {KEPT})", "row_id, text", 0.1, 0.0, 42),
+    ),
     "prepare_reasons": with_("unified", "flagged", body="SELECT reason, count(*) AS n FROM flagged GROUP BY reason"),
     "evaluate_model": with_(
         "pairs", "grams", "lcs", "scored", "turns_unified", "answers",
@@ -591,3 +607,28 @@ ORACLES["chat_training_rows"] = (
     "WITH " + VIEWS["turns_unified"] + ", " + _CHAT + ", " + VIEWS["flagged"]
     + f" SELECT row_id AS conv_id, {TEXTS['chatml']['train']} AS text FROM flagged WHERE reason IS NULL"
 )
+
+_LINES = """SELECT 0 AS part, 0 AS pos, unnest([0, 1, 2, 3]) AS no, unnest(['Model Comparison Report:', '  Dataset: events',
+        '  Models compared: ' || (SELECT count(DISTINCT pos) FROM results), '']) AS line
+    UNION ALL SELECT DISTINCT 1, pos, -1, '  ' || model_name || ':' FROM results
+    UNION ALL SELECT 1, pos, metric_no, format('    {}: {:.4f}', metric, value) FROM results
+    UNION ALL SELECT DISTINCT 1, pos, 2147483647, '' FROM results
+    UNION ALL SELECT 2, 0, 0, '  Best perplexity: ' || (SELECT model_name FROM results WHERE metric = 'perplexity' ORDER BY value, pos LIMIT 1)
+    UNION ALL SELECT 2, 0, 1, format('  Perplexity change: {:+.2f} ({:+.1f}%)', b.value - a.value, 100 * (b.value - a.value) / a.value)
+        FROM results a, results b WHERE a.metric = 'perplexity' AND b.metric = 'perplexity' AND a.pos = 0 AND b.pos = 4"""
+ORACLES["comparison_report"] = with_("results", body=_LINES)
+
+
+def _only_body(name: str) -> str:
+    """A query on the result view without its leading definition of the view."""
+    return ORACLES[name].removeprefix("WITH " + VIEWS["results"] + " ")
+
+
+ORACLES["compare_models_tables"] = with_(
+    "results",
+    body=f"""SELECT 'best' AS part, model_name AS name, metric, value AS v1, NULL::DOUBLE AS v2, NULL::DOUBLE AS v3, NULL::DOUBLE AS v4, NULL AS text
+            FROM ({_only_body("best_models")})
+        UNION ALL SELECT 'improvement', NULL, metric, base_value, finetuned_value, absolute_change, relative_change, NULL FROM ({_only_body("improvement")})
+        UNION ALL SELECT 'report', model_name, NULL, pos, NULL, NULL, NULL, summary FROM ({_only_body("evaluation_summaries")})
+        UNION ALL SELECT 'summary', NULL, NULL, part, pos, no, NULL, line FROM ({_LINES})""",
+)

@@ -425,6 +425,10 @@ def run_reports(spark: SparkSession, sf: str) -> DataFrame:
     return reports.select("run_id", F.get(lines, F.lit(0)).alias("title"), F.get(lines, F.lit(2)).alias("checkpoint"))
 
 
+def run_report_texts(spark: SparkSession, sf: str) -> DataFrame:
+    return telemetry.run_reports(telemetry.run_summary(views.train_events(spark, sf)))
+
+
 # ------------------------------------------------------------------ scoring and cost
 
 
@@ -500,6 +504,10 @@ def prepare_training_sizes(spark: SparkSession, sf: str) -> DataFrame:
     return split_sizes_of(prepare_training_set(spark, views.dolly(spark, sf), config_template="llama3").rows)
 
 
+def prepare_training_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return prepare_training_set(spark, views.dolly(spark, sf), config_template="llama3").rows
+
+
 def prepare_reasons(spark: SparkSession, sf: str) -> DataFrame:
     return prepare_dataset(spark, views.unified(spark, sf)).reasons
 
@@ -523,6 +531,30 @@ def compare_model_reports(spark: SparkSession, sf: str) -> DataFrame:
     return compare_models(*parts, dataset_name="events").best
 
 
+def comparison_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Every numbered line, blank ones included."""
+    return compare.comparison_summary(views.results(spark, sf), "events")
+
+
+def compare_model_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """All tables of a comparison, one below the other."""
+    rows = views.results(spark, sf)
+    job = compare_models(*[rows.where(F.col("model_name") == m) for m in views.MODELS], dataset_name="events")
+
+    def part(df: DataFrame, label: str, **columns) -> DataFrame:
+        kinds = {"name": "string", "metric": "string", "v1": "double", "v2": "double", "v3": "double", "v4": "double", "text": "string"}
+        return df.select(F.lit(label).alias("part"), *[(F.col(columns[c]) if c in columns else F.lit(None)).cast(t).alias(c) for c, t in kinds.items()])
+
+    changes = ("base_value", "finetuned_value", "absolute_change", "relative_change")
+    parts = [
+        part(job.best, "best", name="model_name", metric="metric", v1="value"),
+        part(_rounded(job.improvement, *changes), "improvement", metric="metric", **dict(zip(("v1", "v2", "v3", "v4"), changes))),
+        part(job.reports, "report", name="model_name", v1="pos", text="summary"),
+        part(job.summary, "summary", v1="part", v2="pos", v3="no", text="line"),
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
 QUERIES: dict[str, Query] = {
     "json_array_source": json_array_source,
     "csv_source": csv_source,
@@ -606,6 +638,10 @@ QUERIES: dict[str, Query] = {
     "eval_rows": eval_rows,
     "run_summary": run_summary,
     "run_reports": run_reports,
+    "run_report_texts": run_report_texts,
+    "comparison_report": comparison_report,
+    "compare_models_tables": compare_model_tables,
+    "prepare_training_rows": prepare_training_rows,
     "batch_generation": batch_generation,
     "throughput": throughput,
     "row_throughput": row_throughput,
