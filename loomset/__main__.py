@@ -43,11 +43,12 @@ def _show(job: Prepared) -> None:
 
 
 def _prepare(spark: SparkSession, args: argparse.Namespace) -> None:
+    options = _reader_options(args)
     _show(
         prepare_dataset(
             spark,
             _source(spark, args),
-            reader_options=_reader_options(args),
+            reader_options=options,
             layout=args.format,
             template=args.template or "alpaca",
             min_len=args.min_len,
@@ -61,7 +62,8 @@ def _prepare(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def _training(spark: SparkSession, args: argparse.Namespace) -> None:
-    _show(prepare_training_set(spark, _source(spark, args), reader_options=_reader_options(args), template=args.template, out=args.output_dir))
+    options = _reader_options(args)
+    _show(prepare_training_set(spark, _source(spark, args), reader_options=options, template=args.template, out=args.output_dir))
 
 
 def _evaluate(spark: SparkSession, args: argparse.Namespace) -> None:
