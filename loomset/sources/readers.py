@@ -69,7 +69,7 @@ def _parsed(text: Column, fields: T.StructType) -> Column:
 
 
 def _refused(what: str) -> Column:
-    return F.raise_error(F.concat(F.lit(f"{what} in "), "file"))
+    return F.raise_error(F.concat(F.lit(f"{what} in "), "__file"))
 
 
 def _list_effect(rows: DataFrame) -> DataFrame:
@@ -116,9 +116,8 @@ def _inferred(items: DataFrame, quarantine: bool) -> T.StructType:
 
 def _broken_lists(items: DataFrame, fields: T.StructType) -> DataFrame:
     """Files that are no list of objects, or hold an object that does not parse."""
-    row = _parsed(F.col("item"), fields)
-    bad = ~F.col("good") | (F.col("item").isNotNull() & (row.isNull() | row[CORRUPT].isNotNull()))
-    return items.where(bad).select("file").distinct()
+    bad = ~F.col("__good") | F.col(CORRUPT).isNotNull()
+    return _unfolded(items, _parsed(F.col("item"), fields)).where(bad).select(F.col("__file").alias("file")).distinct()
 
 
 def read_json_array(
@@ -137,19 +136,24 @@ def read_json_array(
     fields = _inferred(items, quarantine) if schema is None else _fields(schema)
     if quarantine:
         items = items.join(_broken_lists(items, fields), "file", "left_anti").where("item IS NOT NULL")
-    rows = items.withColumn("_row", _parsed(F.col("item"), fields))
+    rows = _unfolded(items, _parsed(F.col("item"), fields))
     if not quarantine:
-        sound = F.col("_row").isNotNull() & F.col(f"_row.{CORRUPT}").isNull()
         # One condition: a filter beside it could take the rows that have to fail away first.
-        wanted = F.when(F.col("item").isNull(), False).when(sound, True).otherwise(_refused("Malformed JSON").cast("boolean"))
-        rows = rows.where(F.when(F.col("good"), wanted).otherwise(_refused("a JSON list is wanted").cast("boolean")))
+        sound = F.col(CORRUPT).isNull()
+        wanted = F.when(F.col("__item").isNull(), False).when(sound, True).otherwise(_refused("Malformed JSON").cast("boolean"))
+        rows = rows.where(F.when(F.col("__good"), wanted).otherwise(_refused("a JSON list is wanted").cast("boolean")))
     return _numbered(rows, fields)
 
 
+def _unfolded(rows: DataFrame, parsed: Column) -> DataFrame:
+    """The fields of ``parsed`` as columns, beside the others as ``__<name>``. Generated rows are parsed once,
+    however many columns and filters look at them."""
+    return rows.select(*[F.col(c).alias(f"__{c}") for c in rows.columns], F.inline_outer(F.array(parsed)))
+
+
 def _numbered(rows: DataFrame, fields: T.StructType) -> DataFrame:
     """The parsed fields, with ``row_id`` in file order unless they have one."""
-    columns = [F.col("_row").getField(f.name).alias(f.name) for f in fields.fields]
-    return rows.select(*columns, *([] if "row_id" in fields.names else [F.col("place").alias("row_id")]))
+    return rows.select(*[f"`{f.name}`" for f in fields.fields], *([] if "row_id" in fields.names else [F.col("__place").alias("row_id")]))
 
 
 def _one_object(text: Column) -> Column:
@@ -160,10 +164,10 @@ def _one_object(text: Column) -> Column:
 
 
 def _lines(spark: SparkSession, path: str, fields: T.StructType) -> DataFrame:
-    """(file, place, value, _row, sound) of every line that is not blank."""
+    """Fields of every line that is not blank, beside __file, __place, __value and whether it is ``__sound``."""
     read = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("place"), "value")
-    lines = read.where(F.length(F.btrim("value", F.lit(" \t\r\n\ufeff"))) > 0).withColumn("_row", _parsed(F.col("value"), fields))
-    return lines.withColumn("sound", _one_object(F.col("value")) & F.col("_row").isNotNull() & F.col(f"_row.{CORRUPT}").isNull())
+    lines = read.where(F.length(F.btrim("value", F.lit(" \t\r\n\ufeff"))) > 0)
+    return _unfolded(lines, _parsed(F.col("value"), fields)).withColumn("__sound", _one_object(F.col("__value")) & F.col(CORRUPT).isNull())
 
 
 def read_json_lines(
@@ -176,7 +180,7 @@ def read_json_lines(
         schema = spark.read.options(mode="DROPMALFORMED" if quarantine else "FAILFAST").json(path).schema
     fields = _fields(schema)
     lines = _lines(spark, path, fields)
-    keep = F.col("sound") if quarantine else F.when(F.col("sound"), True).otherwise(_refused("Malformed JSON").cast("boolean"))
+    keep = F.col("__sound") if quarantine else F.when(F.col("__sound"), True).otherwise(_refused("Malformed JSON").cast("boolean"))
     return _numbered(lines.where(keep), fields)
 
 
@@ -185,7 +189,8 @@ def malformed_json(spark: SparkSession, path: str, schema: T.StructType | str, l
     _files(spark, path)
     fields = _fields(schema)
     if not lists:
-        return _lines(spark, path, fields).where(~F.col("sound")).select("file", "value")
+        left = _lines(spark, path, fields).where(~F.col("__sound"))
+        return left.select(F.col("__file").alias("file"), F.col("__value").alias("value"))
     texts = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
     return texts.join(_broken_lists(_list_items(spark, path), fields), "file", "left_semi")
 
@@ -227,9 +232,9 @@ def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFra
     line = F.regexp_replace("text", r"\r?\n?$", "")
     cells = ", ".join(f"_{i} string" for i in range(len(names)))
     lines = rows.where(~F.col("first")).select(blocks.file_order().alias("place"), line.alias("line")).where("line <> ''")
-    parsed = lines.select("place", F.from_csv("line", cells, {**layout, "multiLine": "true"}).alias("_row"))
-    columns = [_csv_cell(F.col(f"_row._{i}")).alias(c) for i, c in enumerate(names)]
-    return parsed.select(*columns, *([] if "row_id" in names else [F.col("place").alias("row_id")]))
+    parsed = _unfolded(lines, F.from_csv("line", cells, {**layout, "multiLine": "true"}))
+    columns = [_csv_cell(F.col(f"_{i}")).alias(c) for i, c in enumerate(names)]
+    return parsed.select(*columns, *([] if "row_id" in names else [F.col("__place").alias("row_id")]))
 
 
 def _csv_cell(cell: Column) -> Column:
