@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomset.llm.common import fresh, packed, unpacked
-from loomset.llm.spans import SPAN, digits, listed, located, luhn, matches, mod97, replaced
+from loomset.llm.spans import chunked, cut, digits, listed, located, luhn, matches, mod97, reached, replaced
 
 KINDS = ("email", "ip", "card", "phone", "iban", "ssn")
 BASE = KINDS[:4]
@@ -119,31 +119,29 @@ def _accounts(text: Column, windows: Column) -> Column:
     codes = F.zip_with(heads, F.transform(windows, _account), lambda s, value: F.struct(
         s["start"].alias("start"), (s["start"] + F.length(value)).alias("end"), value.alias("value"),
     ))
-    empty = F.array().cast(f"array<{SPAN}>")
-
-    def step(acc: Column, s: Column) -> Column:
-        inside = (F.size(acc) > 0) & (s["end"] <= F.try_element_at(acc, F.lit(-1))["end"])
-        return F.when(F.coalesce(inside, F.lit(False)), acc).otherwise(F.array_append(acc, s))
-
-    return F.aggregate(F.filter(codes, lambda s: s["value"].isNotNull()), empty, step)
+    passed = F.filter(codes, lambda s: s["value"].isNotNull())
+    ended = F.zip_with(passed, reached(passed), lambda s, at: F.struct(s.alias("span"), (s["end"] > at).alias("beyond")))
+    return F.transform(F.filter(ended, lambda s: s["beyond"]), lambda s: s["span"])
 
 
 def find_pii(
     df: DataFrame, text: str = "text", spans: str = "pii", kinds: tuple[str, ...] = KINDS, min_score: float = MIN_SCORE
 ) -> DataFrame:
     """``df`` with ``spans``: an array of (start, end, value, kind, rank, score), by start and rank."""
-    row, body, *founds = fresh(df, "_row", "_text", *[f"_{k}" for k in kinds])
+    row, body, chunks, *founds = fresh(df, "_row", "_text", "_chunks", *[f"_{k}" for k in kinds])
     keep, names = packed(df)
     work = df.select(keep.alias(row), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias(body))
     for kind, column in zip(kinds, founds, strict=True):
         work = work.withColumn(column, matches(F.col(body), _PATTERN[kind], _guard(F.col(body), kind), int(kind == "iban")))
+    proposed = F.greatest(*[F.size(c) for c in founds], F.lit(0)) > 0
+    work = work.withColumn(chunks, F.when(proposed, chunked(F.col(body))))
 
     def scored(kind: str, found: str) -> Column:
         prior, checked, nearby = _SCORES[kind]
 
         def score(s: Column) -> Column:
-            before = F.substring(F.col(body), F.greatest(s["start"] - CONTEXT_CHARS, F.lit(0)) + 1, F.least(s["start"], F.lit(CONTEXT_CHARS)))
-            after = F.substring(F.col(body), s["end"] + 1, F.lit(CONTEXT_CHARS))
+            before = cut(F.col(chunks), F.greatest(s["start"] - CONTEXT_CHARS, F.lit(0)), s["start"])
+            after = cut(F.col(chunks), s["end"], s["end"] + CONTEXT_CHARS)
             near = F.lower(F.concat(before, F.lit(" "), after)).rlike(_CONTEXT[kind])
             value = F.lit(prior + checked) + F.when(near, nearby).otherwise(0.0)
             return F.struct(

@@ -10,6 +10,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SPAN = "struct<start:int,end:int,value:string>"
+# Values that one running combination gathers, and code points of a piece of text.
+BLOCK = 64
+CHUNK = 512
 
 
 def matches(text: Column, pattern: str, guard: Column | None = None, group: int = 0) -> Column:
@@ -18,20 +21,72 @@ def matches(text: Column, pattern: str, guard: Column | None = None, group: int
     return found if guard is None else F.when(guard, found).otherwise(F.array().cast("array<string>"))
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` evaluated once, however often it occurs."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _steps(values: Column, combine) -> Column:
+    """0, then every value combined with all before it."""
+    return F.aggregate(values, F.array(F.lit(0)), lambda acc, x: F.array_append(acc, combine(F.element_at(acc, -1), x)))
+
+
+def running(values: Column, combine, levels: int = 2) -> Column:
+    """For each of ``values`` (whole numbers) all before it combined, 0 for the first; ``combine`` is associative.
+
+    ``aggregate`` copies what it has gathered at every step, so it only ever sees ``BLOCK`` values, or the
+    results of the blocks of the last level: the cost is linear in the values.
+    """
+
+    def shifted(blocks: Column) -> Column:
+        totals = F.transform(blocks, lambda b: F.element_at(b, -1))
+        bases = running(totals, combine, levels - 1) if levels > 1 else _steps(totals, combine)
+        inner = F.zip_with(
+            blocks, F.slice(bases, F.lit(1), F.size(blocks)),
+            lambda b, base: F.transform(F.slice(b, F.lit(1), F.size(b) - 1), lambda x: combine(base, x)),
+        )
+        return F.flatten(inner)
+
+    def in_blocks(v: Column) -> Column:
+        last = F.floor((F.size(v) - 1) / BLOCK).cast("int")
+        blocks = F.transform(F.sequence(F.lit(0), last), lambda k: _steps(F.slice(v, k * BLOCK + 1, F.lit(BLOCK)), combine))
+        return _let(blocks, shifted)
+
+    return _let(values, lambda v: F.when(F.size(v) > 0, in_blocks(v)).otherwise(F.array().cast("array<int>")))
+
+
+def reached(spans: Column) -> Column:
+    """For each span the furthest end of those before it, 0 for the first."""
+    return running(F.transform(spans, lambda s: s["end"]), F.greatest)
+
+
 def located(text: Column, pattern: str, found: Column) -> Column:
     """``found``, the matches of ``pattern`` in ``text``, as an array of ``SPAN``."""
     gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found))
     pairs = F.zip_with(found, gaps, lambda value, gap: F.struct(value.alias("value"), F.length(gap).alias("gap")))
-    empty = F.array().cast(f"array<{SPAN}>")
 
-    def step(acc: Column, pair: Column) -> Column:
-        start = acc["at"] + pair["gap"]
-        end = start + F.length(pair["value"])
-        span = F.struct(start.alias("start"), end.alias("end"), pair["value"].alias("value"))
-        return F.struct(end.alias("at"), F.array_append(acc["spans"], span).alias("spans"))
+    def placed(p: Column) -> Column:
+        before = running(F.transform(p, lambda x: x["gap"] + F.length(x["value"])), lambda a, b: a + b)
+
+        def span(x: Column, at: Column) -> Column:
+            start = at + x["gap"]
+            return F.struct(start.alias("start"), (start + F.length(x["value"])).alias("end"), x["value"].alias("value"))
+
+        return F.zip_with(p, before, span)
+
+    return F.when(F.size(found) > 0, _let(pairs, placed)).otherwise(F.array().cast(f"array<{SPAN}>"))
+
 
-    walked = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), empty.alias("spans")), step, lambda acc: acc["spans"])
-    return F.when(F.size(found) > 0, walked).otherwise(empty)
+def chunked(text: Column) -> Column:
+    """``text`` as consecutive pieces of ``CHUNK`` code points, so that ``cut`` need not count from its start."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
+
+
+def cut(chunks: Column, start: Column, end: Column) -> Column:
+    """Code points ``start`` to ``end`` (exclusive, clipped at the text's end) of a ``chunked`` text."""
+    first = F.floor(start / CHUNK).cast("int")
+    held = F.slice(chunks, first + 1, F.floor((end - 1) / CHUNK).cast("int") - first + 1)
+    return F.when(end > start, F.substring(F.array_join(held, ""), start - first * CHUNK + 1, end - start)).otherwise("")
 
 
 def digits(value: Column) -> Column:
@@ -72,28 +127,16 @@ def listed(spans: Column) -> Column:
 
 def replaced(text: Column, spans: Column) -> Column:
     """``text`` with every span replaced by ``[KIND]``; overlapping spans become one, under the first kind."""
-    out = "array<struct<start:int,end:int,kind:string>>"
     ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"], s["rank"], s["end"], s["kind"])))
 
-    def join(acc: Column, s: Column) -> Column:
-        last = F.element_at(acc, -1)
-        grown = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"), last["kind"].alias("kind"))
-        new = F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))
-        return F.when((F.size(acc) > 0) & (s["start"] < F.try_element_at(acc, F.lit(-1))["end"]),
-                      F.concat(F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))), F.array(grown))).otherwise(F.array_append(acc, new))
+    def pieces(chunks: Column) -> Column:
+        def joined(found: Column) -> Column:
+            head = lambda start, kind, at: F.struct(start.alias("start"), kind.alias("kind"), at.alias("at"))
+            heads = F.filter(F.zip_with(found, reached(found), lambda s, at: head(s["start"], s["kind"], at)), lambda h: h["start"] >= h["at"])
+            behind = F.array_max(F.transform(found, lambda s: s["end"]))
+            parts = F.transform(heads, lambda h: F.concat(cut(chunks, h["at"], h["start"]), F.lit("["), F.upper(h["kind"]), F.lit("]")))
+            return F.array_join(F.array_append(parts, cut(chunks, behind, F.length(text))), "")
 
-    merged = F.aggregate(ordered, F.array().cast(out), join)
+        return _let(ordered, joined)
 
-    def piece(acc: Column, s: Column) -> Column:
-        return F.struct(
-            s["end"].alias("at"),
-            F.concat(acc["text"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit("["), F.upper(s["kind"]), F.lit("]")).alias("text"),
-        )
-
-    cut = F.aggregate(
-        merged,
-        F.struct(F.lit(0).alias("at"), F.lit("").alias("text")),
-        piece,
-        lambda acc: F.concat(acc["text"], F.substring(text, acc["at"] + 1, F.length(text))),
-    )
-    return F.when(F.size(spans) > 0, cut).otherwise(text)
+    return F.when(F.size(spans) > 0, _let(chunked(text), pieces)).otherwise(text)

@@ -138,6 +138,36 @@ def test_scans_keep_other_columns(spark):
     assert pii_digest(df.limit(0)).count() == 0 and secrets_digest(df.limit(0)).count() == 0
 
 
+def test_long_texts_with_many_matches(spark):
+    """One text of 12,000 matches: spans, context and replaced text as plain Python gives them."""
+    rng = random.Random(8)
+    pieces = ["call +1 234 567 8901 ", "a.b@c.dd ", "10.0.0.1 ", "4111111111111111 ", "\U0001f600 é ", "card ", "words between " * 4, "123-45-6789 tax ", "host "]
+    long = "".join(rng.choice(pieces) for _ in range(18_000))
+    texts = dict(enumerate([long, "x" * 511 + " a@b.cc", "x" * 512 + "a@b.cc", "\U0001f600" * 512 + " a@b.cc" + " " * 600, "a@b.cc " * 257]))
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    check(pii_digest(df).collect(), texts, plain_pii)
+    for r in find_pii(df, kinds=("phone", "ssn", "ip")).collect():
+        near = {"phone": r"\b(phone|tel|call|mobile|fax|contact)\b", "ssn": r"\b(ssn|social|security|tax)\b", "ip": r"\b(ip|host|server|address|login)\b"}
+        prior = {"phone": (0.6, 0.9), "ssn": (0.4, 0.8), "ip": (0.6, 0.9)}
+        for s in r["pii"]:
+            around = r["text"][max(s["start"] - 40, 0) : s["start"]] + " " + r["text"][s["end"] : s["end"] + 40]
+            assert r["text"][s["start"] : s["end"]] == s["value"]
+            assert s["score"] == prior[s["kind"]][bool(re.search(near[s["kind"]], around.lower(), re.ASCII))], (s, around)
+    spans = {r["doc_id"]: r["pii"] for r in find_pii(df).collect()}
+    for r in redact_pii(df).collect():
+        want, at, last = [], 0, None
+        for s in spans[r["doc_id"]]:
+            if last and s["start"] < last[1]:
+                last = (last[0], max(last[1], s["end"]), last[2])
+            else:
+                if last:
+                    want.append(texts[r["doc_id"]][at : last[0]] + f"[{last[2].upper()}]")
+                    at = last[1]
+                last = (s["start"], s["end"], s["kind"])
+        want.append(texts[r["doc_id"]][at : last[0]] + f"[{last[2].upper()}]" + texts[r["doc_id"]][last[1] :])
+        assert r["text"] == "".join(want)
+
+
 def test_overlapping_spans_become_one(spark):
     df = spark.createDataFrame([(1, "token=0123456789abcdef01234567 end")], "doc_id long, text string")
     assert redact_secrets(df, train_models(labelled_samples(df))).first()["text"] == "[ASSIGN] end"
