@@ -1,7 +1,8 @@
 """Evaluation results, model comparison and their text reports.
 
 Results are a long table ``(pos, model_name, dataset_name, num_samples, metric_no, metric, value)``;
-``pos`` is the order in which models were added.
+``pos`` is the order in which models were added. A model without values has one row whose metric is null,
+so that it is still counted, listed, and first or last.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ NAMED = ("perplexity", "bleu", "rouge_l", "accuracy")
 def result_rows(
     metrics: DataFrame, model_name: str, dataset_name: str, num_samples: Column | int, pos: int = 0
 ) -> DataFrame:
-    """A one-row wide metrics table as long result rows."""
+    """A one-row wide metrics table as long result rows; a model without values keeps one row without a metric."""
     names = [c for c in metrics.columns if c != "num_samples"]
     entries = F.array(
         *[
@@ -41,8 +42,8 @@ def result_rows(
         F.lit(model_name).alias("model_name"),
         F.lit(dataset_name).alias("dataset_name"),
         count.cast("bigint").alias("num_samples"),
-        F.inline(entries),
-    ).where("value IS NOT NULL")
+        F.inline_outer(F.filter(entries, lambda e: e["value"].isNotNull())),
+    )
 
 
 def add_models(*results: DataFrame) -> DataFrame:

@@ -65,6 +65,23 @@ def test_result_rows(spark):
         compare.add_models()
 
 
+def test_a_model_without_values_is_still_compared(spark):
+    wide = spark.createDataFrame([(None, None)], "perplexity double, bleu double")
+    silent = compare.result_rows(wide, "silent", "ds", 3)
+    assert [(r["model_name"], r["num_samples"], r["metric"], r["value"]) for r in silent.collect()] == [("silent", 3, None, None)]
+    base, tuned = result(spark, "base", perplexity=10.0), result(spark, "tuned", perplexity=8.0)
+    job = compare_models(base, tuned, silent)
+    assert [r["model_name"] for r in compare.model_names(job.results).collect()] == ["base", "tuned", "silent"]
+    # The last model has no value to compare with.
+    assert job.improvement.count() == 0
+    assert {r["metric"]: r["model_name"] for r in job.best.collect()} == {"perplexity": "tuned"}
+    lines = [r["line"] for r in job.summary.orderBy("part", "pos", "no").collect()]
+    assert "  Models compared: 3" in lines and lines[-3:] == ["  silent:", "", "  Best perplexity: tuned"]
+    texts = {r["model_name"]: r["summary"] for r in job.reports.collect()}
+    assert texts["silent"] == "Evaluation Results:\n  Model: silent\n  Dataset: ds\n  Samples: 3"
+    assert {r["metric"] for r in compare_models(base, silent, tuned).improvement.collect()} == {"perplexity"}
+
+
 def test_infinite_values_are_spelt_as_python_does(spark):
     from loomset.functions.rounding import fixed, percent
 
