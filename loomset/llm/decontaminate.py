@@ -5,9 +5,13 @@ words of an item form a window; an item with fewer words is one window of its ow
 
 A window of ``size`` words holds a whole block of ``(size + 1) // 2`` words wherever blocks of that length
 are laid end to end, so a document is scanned block by block and a window is looked up by the first whole
-block inside it: no window is missed, and a document costs one hash per block. The set of test blocks is
-broadcast if its counted size allows it and joined by shuffle if not. A hash hit counts only after all
-words of the window were compared.
+block inside it: no window is missed, and a document costs one hash per block. A hash hit counts only
+after all words of the window were compared.
+
+The set of test blocks is broadcast if its counted size allows it. If not, fixed-size rows (digest of the
+text, position, hash) find the blocks that some test holds; the documents then give only the windows
+around those blocks, to be joined with the test windows word for word, and take their hits by the digest.
+No text is shuffled for the lookups, and one block shared by many tests and documents multiplies nothing.
 
 Documents and items may repeat or lack ids: rows are kept apart by position, items without an id still
 mark words but are not listed. Null and empty texts have no words. An empty benchmark hits nothing.
@@ -19,7 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomset.llm.common import ascii_lower, fresh, hint_small, packed, unpacked
+from loomset.llm.common import BROADCAST_BYTES, ascii_lower, fresh, hint_small, packed, unpacked
+from loomset.session import materialize
 
 N = 10
 _LOWER_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]++"
@@ -64,37 +69,42 @@ def test_windows(benchmark: DataFrame, n: int = N) -> DataFrame:
 test_windows.__test__ = False
 
 
-def test_blocks(grams: DataFrame, sizes: list[int]) -> DataFrame:
-    """(hash, size, tests): for each block that can be the first of a window, the windows and its offset in them."""
+def _block_rows(grams: DataFrame, sizes: list[int]) -> DataFrame:
+    """(size, gram, items, b): each block that can be the first in a window, with its hash and offset."""
     each = F.array().cast("array<struct<hash:bigint,off:int>>")
     for s in sizes:
         of = F.array(
             *[F.struct(_hash(F.col("gram"), F.lit(o + 1), _block(s)).alias("hash"), F.lit(o).alias("off")) for o in range(_block(s))]
         )
         each = F.when(F.col("size") == s, of).otherwise(each)
-    rows = grams.select("size", "gram", "items", F.explode_outer(each).alias("b"))
-    return rows.groupBy(F.col("b.hash").alias("hash"), "size").agg(F.collect_list(F.struct(F.col("b.off").alias("off"), "gram", "items")).alias("tests"))
+    return grams.select("size", "gram", "items", F.explode_outer(each).alias("b"))
+
+
+def test_blocks(grams: DataFrame, sizes: list[int]) -> DataFrame:
+    """(hash, size, tests): for each block that can be the first of a window, the windows and its offset in them."""
+    return _block_rows(grams, sizes).groupBy(F.col("b.hash").alias("hash"), "size").agg(F.collect_list(F.struct(F.col("b.off").alias("off"), "gram", "items")).alias("tests"))
 
 
 test_blocks.__test__ = False
 
 
-def find_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", n: int = N, result: str = "hits") -> DataFrame:
-    """``docs`` without ``text``, plus ``result``: a struct of ``n_words``, ``spans`` and ``items``.
+def _merged(found: Column) -> Column:
+    """Sorted (start, end) ranges as disjoint ones."""
+
+    def join(acc: Column, s: Column) -> Column:
+        last = F.try_element_at(acc, F.lit(-1))
+        grown = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"))
+        return F.when((F.size(acc) > 0) & (s["start"] <= last["end"]), F.concat(F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))), F.array(grown))).otherwise(
+            F.array_append(acc, s)
+        )
+
+    return F.aggregate(found, F.array().cast("array<struct<start:int,end:int>>"), join)
 
-    ``spans`` are disjoint (start, end) word ranges, from 0, end exclusive, sorted; ``items`` the sorted ids
-    of items with an occurring window. Every document gives a row.
-    """
-    grams = test_windows(benchmark, n)
-    counts = grams.groupBy("size").agg(F.count("*").alias("n"), F.sum(F.size("items")).alias("items")).collect()  # at most n rows
-    sizes = sorted(r["size"] for r in counts)
-    in_bytes = sum(_block(r["size"]) * (r["n"] * (r["size"] * 16 + 64) + r["items"] * 8) for r in counts)
-    listed = hint_small(test_blocks(grams, sizes), in_bytes, 1)
 
+def _by_broadcast(docs: DataFrame, others: DataFrame, text: str, blocks: DataFrame, sizes: list[int]) -> tuple[DataFrame, str]:
+    """A row per document: its columns in the named struct, ``n_words``, ``found`` and ``items``."""
     key, row, tokens, win = fresh(docs, "_key", "_row", "_words", "_win")
-    others = docs.drop(text) if len(docs.columns) > 1 else docs
-    keep, names = packed(others)
-    work = docs.select(F.monotonically_increasing_id().alias(key), keep.alias(row), words(F.col(f"`{text}`")).alias(tokens))
+    work = docs.select(F.monotonically_increasing_id().alias(key), packed(others)[0].alias(row), words(F.col(f"`{text}`")).alias(tokens))
     mark = F.array(F.struct(F.lit(0).cast("long").alias("hash"), F.lit(0).alias("at"), F.lit(0).alias("size")))
     every = F.concat(mark, *[_blocks(F.col(tokens), s) for s in sizes])  # the mark keeps a row for every document
     # The windows are a column of their own before they are exploded: then explode and join share one generated stage
@@ -104,7 +114,7 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", n: int
     exploded = listed_windows.select(key, row, tokens, "n_words", F.explode_outer(win).alias(win)).select(
         key, row, "n_words", tokens, F.col(f"{win}.hash").alias("hash"), F.col(f"{win}.at").alias("at"), F.col(f"{win}.size").alias("size")
     )
-    joined = exploded.join(listed, ["hash", "size"], "left").where((F.col("at") == 0) | F.col("tests").isNotNull())
+    joined = exploded.join(F.broadcast(blocks), ["hash", "size"], "left").where((F.col("at") == 0) | F.col("tests").isNotNull())
 
     def occurs(t: Column) -> Column:
         start = F.col("at") - t["off"]
@@ -118,19 +128,65 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", n: int
         F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.transform("tests", span))))).alias("found"),
         F.array_sort(F.array_distinct(F.flatten(F.flatten(F.collect_set(F.transform("tests", lambda t: t["items"])))))).alias("items"),
     )
-    empty = F.array().cast("array<struct<start:int,end:int>>")
+    return grouped, row
+
+
+def _hits_by_text(docs: DataFrame, text: str, grams: DataFrame, sizes: list[int]) -> DataFrame:
+    """(digest, found, items) of the texts that hold a test window; every join here is on narrow rows."""
+    work = docs.select(_digest(text).alias("digest"), words(F.col(f"`{text}`")).alias("w"))
+    blocks = work.select("digest", F.explode_outer(F.concat(*[_blocks(F.col("w"), s) for s in sizes])).alias("b"))
+    held = _block_rows(grams, sizes).select(F.col("b.hash").alias("hash"), "size").distinct()
+    near = blocks.select("digest", "b.hash", "b.at", "b.size").join(held, ["hash", "size"], "left_semi")
+    near = materialize(near.groupBy("digest").agg(F.collect_set(F.struct("at", "size")).alias("places")), "test_blocks")
+    near = hint_small(near, near.agg(F.sum(F.size("places") * 8 + 64)).first()[0] or 0, 1)
+
+    def around(p: Column) -> Column:
+        offsets = F.sequence(F.lit(0), F.greatest(F.floor((p["size"] + 1) / 2).cast("int") - 1, F.lit(0)))
+        return F.transform(offsets, lambda o: F.struct((p["at"] - o).alias("start"), p["size"].alias("size")))
+
+    windows = work.join(near, "digest").select("digest", "w", F.explode_outer(F.flatten(F.transform("places", around))).alias("p"))
+    inside = (F.col("p.start") >= 1) & (F.col("p.start") + F.col("p.size") - 1 <= F.size("w"))
+    windows = windows.where(inside).select("digest", "p.start", "p.size", F.slice("w", F.col("p.start"), F.col("p.size")).alias("gram"))
+    start = F.col("start") - 1
+    hits = windows.join(grams, ["size", "gram"]).groupBy("digest").agg(
+        F.array_sort(F.collect_set(F.struct(start.alias("start"), (start + F.col("size")).alias("end")))).alias("found"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
+    )
+    return materialize(hits, "test_hits")
+
+
+def _digest(text: str) -> Column:
+    return F.unhex(F.sha2(F.coalesce(F.col(f"`{text}`"), F.lit("")), 256))
+
+
+def _by_shuffle(docs: DataFrame, others: DataFrame, text: str, grams: DataFrame, sizes: list[int]) -> tuple[DataFrame, str]:
+    """The same rows as ``_by_broadcast`` for a test set of any size."""
+    row, digest = fresh(docs, "_row", "_digest")
+    hits = _hits_by_text(docs, text, grams, sizes).withColumnRenamed("digest", digest)
+    in_bytes = hits.agg(F.sum((F.size("found") + F.size("items")) * 8 + 64)).first()[0] or 0
+    work = docs.select(packed(others)[0].alias(row), _digest(text).alias(digest), F.size(words(F.col(f"`{text}`"))).alias("n_words"))
+    joined = work.join(hint_small(hits, in_bytes, 1), digest, "left")
+    return joined.select(row, "n_words", *[F.coalesce(c, F.array().cast(hits.schema[c].dataType)).alias(c) for c in ("found", "items")]), row
 
-    def join(acc: Column, s: Column) -> Column:
-        last = F.try_element_at(acc, F.lit(-1))
-        grown = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"))
-        return F.when((F.size(acc) > 0) & (s["start"] <= last["end"]), F.concat(F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))), F.array(grown))).otherwise(
-            F.array_append(acc, s)
-        )
 
-    merged = F.aggregate(F.col("found"), empty, join)
+def find_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", n: int = N, result: str = "hits") -> DataFrame:
+    """``docs`` without ``text``, plus ``result``: a struct of ``n_words``, ``spans`` and ``items``.
+
+    ``spans`` are disjoint (start, end) word ranges, from 0, end exclusive, sorted; ``items`` the sorted ids
+    of items with an occurring window. Every document gives a row.
+    """
+    grams = test_windows(benchmark, n)
+    counts = grams.groupBy("size").agg(F.count("*").alias("n"), F.sum(F.size("items")).alias("items")).collect()  # at most n rows
+    sizes = sorted(r["size"] for r in counts)
+    in_bytes = sum(_block(r["size"]) * (r["n"] * (r["size"] * 16 + 64) + r["items"] * 8) for r in counts)
+    others = docs.drop(text) if len(docs.columns) > 1 else docs
+    if in_bytes <= BROADCAST_BYTES or not sizes:
+        found, row = _by_broadcast(docs, others, text, test_blocks(grams, sizes), sizes)
+    else:
+        found, row = _by_shuffle(docs, others, text, materialize(grams, "test_windows"), sizes)
     (name,) = fresh(others, result)
-    out = F.struct(F.col("n_words").cast("long").alias("n_words"), merged.alias("spans"), F.col("items").alias("items"))
-    return grouped.select(row, out.alias(name)).select(*unpacked(row, names), name)
+    out = F.struct(F.col("n_words").cast("long").alias("n_words"), _merged(F.col("found")).alias("spans"), F.col("items").alias("items"))
+    return found.select(row, out.alias(name)).select(*unpacked(row, others.columns), name)
 
 
 def covered(hits: Column) -> Column:

@@ -5,9 +5,10 @@ import random
 import re
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from loomset.llm.decontaminate import contamination_digest, cut_words, decontaminate
+from loomset.llm.decontaminate import contamination_digest, cut_words, decontaminate, find_hits
 from loomset.llm.fingerprints import block_masks, fingerprint_digest, within_radius
 from loomset.llm.near_dedup import BANDS, BINS, Shingler, keep_first, near_duplicates, sketch
 from loomset.llm.suffix_dedup import dedup_digest, remove_repeats
@@ -113,7 +114,9 @@ def test_repeated_substrings_of_odd_rows(spark):
     assert dedup_digest(df.limit(0)).count() == 0
 
 
-def test_decontamination_equals_brute_force(spark):
+@pytest.mark.parametrize("most", [32 << 20, -1])
+def test_decontamination_equals_brute_force(spark, monkeypatch, most):
+    monkeypatch.setattr("loomset.llm.decontaminate.BROADCAST_BYTES", most)
     texts = corpus(7)
     items = {1: " ".join((texts[3] or "").split()[:25]), 2: "one", 3: None, 4: "", 5: texts[66], 6: "kax lota miven", 7: "kax lota miven"}
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
@@ -142,6 +145,37 @@ def test_decontamination_equals_brute_force(spark):
     assert contamination_digest(docs.limit(0), bench).count() == 0
 
 
+def shuffled(spark):
+    return spark._jsc.sc().statusStore().executorList(True).head().totalShuffleWrite()
+
+
+def test_large_test_sets_move_no_texts(spark, monkeypatch):
+    """Without the broadcast: the same hits, one long text and copies of a text included, and less shuffled than two inputs."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    long = docs.agg(F.lit(None).cast("long"), F.array_join(F.collect_list("text"), " "))
+    docs = docs.union(long).union(docs.limit(1).join(spark.range(500).select(F.col("id").alias("n"))).select("doc_id", "text"))
+    bench = spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet")
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0]
+    hits = lambda: sorted(map(str, find_hits(docs, bench).collect()))
+    expected = hits()
+    monkeypatch.setattr("loomset.llm.decontaminate.BROADCAST_BYTES", -1)
+    before = shuffled(spark)
+    assert hits() == expected
+    assert shuffled(spark) - before < 2 * size
+
+
+@pytest.mark.parametrize("most", [32 << 20, -1])
+def test_one_block_in_many_tests_and_documents(spark, monkeypatch, most):
+    """A block shared by all tests and documents, not the windows around it: only whole windows hit."""
+    monkeypatch.setattr("loomset.llm.decontaminate.BROADCAST_BYTES", most)
+    docs = spark.range(200).select(F.col("id").alias("doc_id"), F.concat(F.lit("x "), F.lit("a b c d e "), F.expr("concat_ws(' ', 'd', id, id, id, id, id)")).alias("text"))
+    bench = spark.range(100).select(F.col("id").alias("item_id"), F.concat(F.lit("a b c d e "), F.expr("concat_ws(' ', 'd', id, id, id, id, if(id < 3, string(id), 'z'))")).alias("text"))
+    rows = contamination_digest(docs, bench).where("contaminated").collect()
+    # Windows of ten words end before the last word of an item, so the first window of each item is in its document.
+    assert sorted(r["doc_id"] for r in rows) == list(range(100))
+    assert {r["doc_id"] for r in rows if r["n_hit"] == 11} == {0, 1, 2} and {r["n_hit"] for r in rows} == {10, 11}
+
+
 def test_decontamination_cuts_words_and_keeps_columns(spark):
     docs = spark.createDataFrame([(None, "Say: Quick brown FOX, then go", "h"), (1, None, None)], "doc_id long, text string, hits string")
     bench = spark.createDataFrame([(None, "quick brown fox")], "item_id long, text string")
