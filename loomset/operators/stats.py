@@ -23,16 +23,22 @@ def dataset_stats(df: DataFrame, *extra: Column) -> DataFrame:
 
     ``extra`` aggregates over other columns of ``df`` share the same scan.
     """
-    lengths = df.select(
-        *[c for c in df.columns if c not in _FIELDS],
-        *[F.length(F.coalesce(F.col(c), F.lit(""))).cast("bigint").alias(c) for c in _FIELDS],
-        F.coalesce(has_text(F.col("input")), F.lit(False)).alias("_has_input"),
-    )
-    estimate = F.expr("(instruction + input + output) div 4")
+    return length_stats(with_lengths(df), *extra)
+
+
+def with_lengths(df: DataFrame) -> DataFrame:
+    """``df`` with the lengths of its texts and whether the input holds any text."""
+    lengths = [F.length(F.coalesce(F.col(c), F.lit(""))).cast("bigint").alias(f"_{c}_len") for c in _FIELDS]
+    return df.select("*", *lengths, F.coalesce(has_text(F.col("input")), F.lit(False)).alias("_has_input"))
+
+
+def length_stats(lengths: DataFrame, *extra: Column) -> DataFrame:
+    """The statistics out of the columns that ``with_lengths`` adds; no text is read."""
+    estimate = F.expr("(_instruction_len + _input_len + _output_len) div 4")
     aggregates = [F.count("*").alias("num_samples")]
     for how, fn in (("avg", F.avg), ("max", F.max), ("min", F.min)):
         zero = F.lit(0.0) if how == "avg" else F.lit(0).cast("bigint")
-        aggregates += [F.coalesce(fn(c), zero).alias(f"{how}_{c}_len") for c in _FIELDS]
+        aggregates += [F.coalesce(fn(f"_{c}_len"), zero).alias(f"{how}_{c}_len") for c in _FIELDS]
     aggregates.append(F.count_if(~F.col("_has_input")).alias("empty_input_count"))
     for position, (_, low, high) in enumerate(TOKEN_BUCKETS):
         inside = F.col("_tokens") >= low

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from loomset.functions.rounding import percent
 from loomset.functions.text import py_strip, special_count, special_ratio, text_or_empty
+from loomset.session import materialize
 
 REQUIRED = ("instruction", "output")
 
@@ -113,42 +114,49 @@ def drop_duplicates(df: DataFrame, order: str = "row_id") -> DataFrame:
     return _first_per_key(keyed, order)
 
 
-def _with_local_reason(df: DataFrame, min_len: int, max_len: int) -> DataFrame:
-    """Adds ``reason`` (quality, then length) and ``_key``; needs no shuffle."""
+def with_local_reason(df: DataFrame, min_len: int = MIN_LENGTH, max_len: int = MAX_LENGTH) -> DataFrame:
+    """Adds ``reason`` (quality, then length) and, where that is null, ``_key``; needs no shuffle."""
     require_schema(df)
     columns = df.columns
     quality = _quality(F.col("_i"), F.col("_o"))
     length = F.when(~length_ok(df, min_len, max_len), LENGTH)
     flagged = _with_stripped(df).select(*columns, "_i", "_o", F.coalesce(quality, length).alias("reason"))
     key = F.when(F.col("reason").isNull(), dedup_key(F.col("_i"), F.col("_o")))
-    return flagged.select(*columns, "reason", key.alias("_key"))
+    # Out of an inline like the stripped texts: a filter on the reason does not run the checks again.
+    return flagged.select(*columns, F.inline(F.array(F.struct("reason", key.alias("_key")))))
 
 
 def validate_all(
     df: DataFrame, min_len: int = MIN_LENGTH, max_len: int = MAX_LENGTH, order: str = "row_id"
 ) -> DataFrame:
     """Rows that pass every check; only rows that passed the others compete as duplicates."""
-    survivors = _with_local_reason(df, min_len, max_len).where("reason IS NULL").drop("reason")
+    survivors = with_local_reason(df, min_len, max_len).where("reason IS NULL").drop("reason")
     return _first_per_key(survivors, order)
 
 
 def flag_all(
     df: DataFrame, min_len: int = MIN_LENGTH, max_len: int = MAX_LENGTH, order: str = "row_id"
 ) -> DataFrame:
-    """Every row with its removal reason (null = kept).
+    """Every row with its removal reason (null = kept), joined on the unique ``order``."""
+    return df.join(flags(df, min_len, max_len, order), order, "left").select(*df.columns, "reason")
 
-    Winners are found on ``(key, order)`` alone by a combined aggregate, then marked by a join on
-    the unique row id. Neither step can be skewed by a text with many copies.
+
+def flags(df: DataFrame, min_len: int = MIN_LENGTH, max_len: int = MAX_LENGTH, order: str = "row_id") -> DataFrame:
+    """``(order, reason)`` of every row.
+
+    The texts are read and checked once, into a written table of ids, reasons and keys. Winners
+    are found there by a combined aggregate and marked by a join on the unique ``order``: neither
+    step can be skewed by a text with many copies.
     """
-    local = _with_local_reason(df, min_len, max_len)
-    winners = (
-        local.where("reason IS NULL")
-        .groupBy("_key")
-        .agg(F.min(order).alias(order))
-        .select(order, F.lit(True).alias("_first"))
-    )
+    narrow = materialize(with_local_reason(df, min_len, max_len).select(order, "reason", "_key"), "flags")
+    first = winners(narrow, order).select(order, F.lit(True).alias("_first"))
     reason = F.coalesce(F.col("reason"), F.when(F.col("_first").isNull(), DUPLICATE))
-    return local.drop("_key").join(winners, order, "left").withColumn("reason", reason).drop("_first")
+    return narrow.join(first, order, "left").select(order, reason.alias("reason"))
+
+
+def winners(checked: DataFrame, order: str = "row_id") -> DataFrame:
+    """``order`` of the first row per key, among the rows of ``with_local_reason`` that have no reason."""
+    return checked.where("reason IS NULL").groupBy("_key").agg(F.min(order).alias(order)).select(order)
 
 
 def reason_counts(df: DataFrame, min_len: int = MIN_LENGTH, max_len: int = MAX_LENGTH) -> DataFrame:
@@ -158,7 +166,7 @@ def reason_counts(df: DataFrame, min_len: int = MIN_LENGTH, max_len: int = MAX_L
     combined in each task before they are shuffled.
     """
     per_key = (
-        _with_local_reason(df, min_len, max_len).groupBy("reason", "_key").agg(F.count("*").alias("_n"))
+        with_local_reason(df, min_len, max_len).groupBy("reason", "_key").agg(F.count("*").alias("_n"))
     )
     totals = per_key.groupBy("reason").agg(F.sum("_n").alias("_rows"), F.count("*").alias("_keys"))
     kept = F.struct(F.lit(None).cast("string").alias("reason"), F.col("_keys").alias("n"))
@@ -168,14 +176,10 @@ def reason_counts(df: DataFrame, min_len: int = MIN_LENGTH, max_len: int = MAX_L
     return totals.select(F.inline(rows)).where("n > 0")
 
 
-def local_reason_counts(df: DataFrame, min_len: int, max_len: int) -> tuple[DataFrame, list[Column]]:
-    """The table with its row-local ``reason``, and one count per reason (``_ok`` for survivors).
-
-    For jobs that aggregate other things over the same scan.
-    """
-    flagged = _with_local_reason(df, min_len, max_len).drop("_key")
+def local_reason_counts() -> list[Column]:
+    """One count per row-local ``reason`` (``_ok`` for survivors), to share a scan with other aggregates."""
     counts = [F.count_if(F.col("reason") == r).alias(r) for r in LOCAL_REASONS]
-    return flagged, [F.count_if(F.col("reason").isNull()).alias("_ok"), *counts]
+    return [F.count_if(F.col("reason").isNull()).alias("_ok"), *counts]
 
 
 def validation_report(counts: DataFrame) -> DataFrame:

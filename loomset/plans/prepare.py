@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomset.functions.templates import get_template, render
 from loomset.operators.split import check_ratios, random_split
-from loomset.operators.stats import dataset_stats
+from loomset.operators.stats import length_stats, with_lengths
 from loomset.operators.unify import to_unified
 from loomset.operators.validate import (
     DUPLICATE,
@@ -17,9 +17,10 @@ from loomset.operators.validate import (
     MAX_LENGTH,
     MIN_LENGTH,
     local_reason_counts,
-    validate_all,
+    winners,
+    with_local_reason,
 )
-from loomset.session import drop_path, write_scratch
+from loomset.session import BROADCAST_ROWS, drop_path, write_scratch
 from loomset.sources.readers import load, with_row_id
 from loomset.sources.sinks import write_splits
 
@@ -28,12 +29,14 @@ from loomset.sources.sinks import write_splits
 class Prepared:
     stats: DataFrame  # one row over the unified input
     reasons: DataFrame  # (reason, n); the null reason counts the kept rows
-    rows: DataFrame  # (row_id, text, split), read from the kept table
-    kept_path: str  # the kept table in shared scratch
+    rows: DataFrame  # (row_id, text, split), read from the checked table
+    kept_path: str  # the checked table in shared scratch
+    more_paths: list[str] = field(default_factory=list)  # what else was written there
 
     def release(self) -> None:
-        """Delete the kept table once ``rows`` is no longer needed."""
-        drop_path(self.rows.sparkSession, self.kept_path)
+        """Delete what was written to scratch once ``rows`` is no longer needed."""
+        for path in (self.kept_path, *self.more_paths):
+            drop_path(self.rows.sparkSession, path)
 
 
 def prepare_dataset(
@@ -55,9 +58,10 @@ def prepare_dataset(
 
     ``reader_options`` go to the reader: ``schema`` and ``quarantine`` for JSON, ``multi_line`` for CSV.
 
-    The input is scanned twice: once for statistics and removal counts together, once to write the
-    kept rows. Only the second scan shuffles text, for deduplication. Splitting and writing read
-    the kept table, and the split needs only its ids.
+    The input is read and checked once, into one written table of texts, lengths, reasons and keys.
+    Statistics, removal counts, duplicates and the split read its narrow columns; texts are read
+    once more, to render the kept rows. Text is shuffled only if there are more duplicates than
+    may be broadcast as ids.
     """
     get_template(template)
     check_ratios(*ratios)
@@ -65,16 +69,28 @@ def prepare_dataset(
     keep = ("row_id", stratify) if stratify and stratify in raw.columns else ("row_id",)
     unified = to_unified(raw, layout, keep)
 
-    flagged, reason_counts = local_reason_counts(unified, min_len, max_len)
-    profile = dataset_stats(flagged, *reason_counts).first()
+    written: list[str] = []
+
+    def stored(df: DataFrame, label: str) -> DataFrame:
+        written.append(write_scratch(df, label))
+        return spark.read.schema(df.schema).parquet(written[-1])
+
+    checked = stored(with_lengths(with_local_reason(unified, min_len, max_len)), "checked")
+    profile = length_stats(checked, *local_reason_counts()).first()
     stat_names = [c for c in profile.asDict() if c != "_ok" and c not in LOCAL_REASONS]
 
-    valid = validate_all(unified, min_len, max_len)
-    kept_path = write_scratch(valid, "kept")
-    kept = spark.read.schema(valid.schema).parquet(kept_path)
-    num_kept = kept.count()
+    first = winners(checked)
+    passed = checked.where("reason IS NULL")
+    copies = stored(passed.select("row_id").join(first, "row_id", "left_anti"), "copies")
+    num_copies = copies.count()
+    num_kept = profile["_ok"] - num_copies
+    texts = passed.select(*[f"`{c}`" for c in unified.columns])
+    if num_copies <= BROADCAST_ROWS:
+        kept = texts.join(F.broadcast(copies), "row_id", "left_anti")
+    else:
+        kept = stored(texts.join(copies, "row_id", "left_anti"), "kept")
     counts = {reason: profile[reason] for reason in LOCAL_REASONS}
-    counts[DUPLICATE] = profile["_ok"] - num_kept
+    counts[DUPLICATE] = num_copies
     reasons = [(None, num_kept), *counts.items()]
 
     rows = random_split(render(kept, template, keep=keep), *ratios, seed=seed, stratify=stratify)
@@ -85,7 +101,8 @@ def prepare_dataset(
         stats=_one_row(spark, profile, stat_names),
         reasons=spark.createDataFrame([r for r in reasons if r[1]], "reason string, n bigint"),
         rows=rows,
-        kept_path=kept_path,
+        kept_path=written[0],
+        more_paths=written[1:],
     )
 
 

@@ -69,10 +69,21 @@ def test_evaluation_job(spark, tmp_path):
         evaluate_model(data, scored, out=str(tmp_path / "x"), review=1)
 
 
+def test_duplicates_beyond_the_broadcast(spark, unified, monkeypatch):
+    df = unified(*GOOD, *[GOOD[0]] * 100)
+    rows = lambda job: sorted(map(tuple, job.rows.collect()))
+    expected = rows(prepare_dataset(spark, df))
+    monkeypatch.setattr("loomset.plans.prepare.BROADCAST_ROWS", 10)
+    job = prepare_dataset(spark, df)
+    assert rows(job) == expected and len(expected) == 200
+    assert {r["reason"]: r["n"] for r in job.reasons.collect()} == {None: 200, "duplicate": 100}
+
+
 def test_scratch_tables(spark, unified):
     table = materialize(unified(*GOOD), "trial")
     assert scratch_root(spark) in table.inputFiles()[0] and table.count() == 200
     job = prepare_dataset(spark, unified(*GOOD))
-    assert os.path.exists(job.kept_path)
+    paths = [job.kept_path, *job.more_paths]
+    assert all(map(os.path.exists, paths))
     job.release()
-    assert not os.path.exists(job.kept_path)
+    assert not any(map(os.path.exists, paths))

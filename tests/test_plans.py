@@ -39,6 +39,13 @@ def test_deduplication_shuffles_once_and_drops_copies_before(table):
         assert exchanges(job) == 1 and text.count("WindowGroupLimit") == 2 and "Partial" in text
 
 
+def test_texts_are_checked_once(spark, table):
+    assert plan(validate.validate_all(table)).count("regexp_replace") == plan(validate.with_local_reason(table)).count("regexp_replace")
+    flags = plan(validate.flags(table))
+    assert "regexp_replace" not in flags and "instruction" not in flags  # they were checked when the narrow table was written
+    assert "instruction" in plan(validate.flag_all(table)) and "regexp_replace" not in plan(validate.flag_all(table))
+
+
 def test_reason_counts_combine_before_the_shuffle(table):
     text = plan(validate.reason_counts(table))
     assert "Window" not in text and text.count("HashAggregate") == 4 and "Join" not in text

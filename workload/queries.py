@@ -588,7 +588,7 @@ QUERIES: dict[str, Query] = {
     "special_ratio": special_ratio,
     "exact_dedup": lambda spark, sf: validate.drop_duplicates(views.unified(spark, sf)),
     "validation_kept": validation_kept,
-    "validation_flags": lambda spark, sf: validate.flag_all(views.unified(spark, sf)).select("row_id", "reason"),
+    "validation_flags": lambda spark, sf: validate.flags(views.unified(spark, sf)),
     "validation_reasons": lambda spark, sf: validate.sorted_reasons(validate.reason_counts(views.unified(spark, sf))),
     "validation_report": validation_report,
     "validation_summary": lambda spark, sf: validate.report_summary(validate.reason_counts(views.unified(spark, sf))),
