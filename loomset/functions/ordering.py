@@ -6,16 +6,19 @@ from bisect import bisect_left
 from dataclasses import dataclass
 from functools import reduce
 from itertools import accumulate
-from operator import or_
+from operator import add, or_
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DatetimeType, NumericType
 
 # A 4-digit hexadecimal prefix gives at most 65,536 groups.
 PREFIX = 4
 # A bucket this small is read as rows.
 SMALL_BUCKET = 10_000
+# Bytes of texts in a range of rows that one task numbers.
+BUCKET_BYTES = 64 << 20
 
 
 def seeded_hash(row_id: str | Column, seed: int) -> Column:
@@ -154,11 +157,14 @@ def row_positions(df: DataFrame, order: str, name: str, rows_per_bucket: int = 1
     """Exact 0-based position in ``order`` (unique numbers), without one task seeing every row.
 
     Quantiles of the order column cut the table into ranges of similar size, however clumped the
-    numbers are. Positions are counted inside a range and shifted by the ranges before it.
+    numbers are. Positions are counted inside a range and shifted by the ranges before it. Rows travel
+    whole, so tables of long rows are cut into more ranges, of ``BUCKET_BYTES`` on average.
     """
     spark = df.sparkSession
-    total = df.count()
-    parts = total // rows_per_bucket + 1
+    wide = [f"`{f.name}`" for f in df.schema.fields if not isinstance(f.dataType, (NumericType, BooleanType, DatetimeType))]
+    width = reduce(add, [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)).cast("long") for c in wide], F.lit(0).cast("long"))
+    total, size = df.agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).first()
+    parts = max(total // rows_per_bucket, size // BUCKET_BYTES) + 1
     cuts: list[float] = []
     if parts > 1:
         probabilities = [i / parts for i in range(1, parts)]

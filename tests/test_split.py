@@ -123,6 +123,18 @@ def test_ranks_and_positions(spark):
     assert sorted(r["n"] for r in batches) == [1] + [4] * 200
 
 
+def test_long_rows_are_numbered_in_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "BUCKET_BYTES", 2_000, raising=False)
+    df = ids(spark, 200).withColumn("text", F.repeat(F.lit("x"), 100))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = row_positions(df, "row_id", "at").withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert all(r["at"] == r["row_id"] for r in got) and len(got) == 200
+    assert len({r["task"] for r in got}) > 2
+
+
 @pytest.mark.parametrize("small", [10, 10_000])
 def test_ids_that_repeat(spark, tmp_path, small, monkeypatch):
     """A cut falls inside equal ids, and inside equal rows, without reading them."""
