@@ -15,7 +15,6 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -101,19 +100,21 @@ def block_starts(effects: DataFrame) -> DataFrame:
 
     ``number`` counts blocks over all files by path; ``closed`` says that a file ends with a separator.
     """
-
-    def scan(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("block")
-        states = states_of(pdf["end0"].to_numpy(), pdf["end1"].to_numpy(), 0)[:-1]
-        added = np.where(states == 0, pdf["add0"], pdf["add1"])
-        over = int(pdf["bytes"].sum()) - int(pdf["size"].iloc[0])  # 0 with a last separator, 1 without; 3 less after a byte order mark
-        last = np.arange(len(pdf)) == len(pdf) - 1
-        return pd.DataFrame({
-            "file": pdf["file"], "block": pdf["block"], "state": states, "depth": np.cumsum(added) - added,
-            "last": last, "closed": over in (0, -3),
-        })
-
-    scanned = effects.groupBy("file").applyInPandas(scan, "file string, block long, state long, depth long, last boolean, closed boolean")
+    # One row per block: a file's blocks meet in one task, and thousands of small files need no Python call each.
+    whole = Window.partitionBy("file")
+    to_here = whole.orderBy("block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = whole.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    fixed, zero = F.col("end0") == F.col("end1"), F.lit(0).cast("long")
+    flips = effects.withColumn("flip", F.when(~fixed, F.col("end0")).otherwise(zero)).withColumn("flips", F.sum("flip").over(to_here))
+    base = flips.withColumn("base", F.when(fixed, F.col("end0") - F.col("flips")))
+    turned = F.coalesce(F.last("base", ignorenulls=True).over(before), zero) + F.coalesce(F.sum("flip").over(before), zero)
+    stated = base.withColumn("state", F.pmod(turned, F.lit(2)))
+    added = F.when(F.col("state") == 0, F.col("add0")).otherwise(F.col("add1"))
+    over = F.sum("bytes").over(whole) - F.col("size")  # 0 with a last separator, 1 without; 3 less after a byte order mark
+    scanned = stated.select(
+        "file", "block", "state", F.coalesce(F.sum(added).over(before), zero).alias("depth"),
+        F.lead("block").over(whole.orderBy("block")).isNull().alias("last"), over.isin(0, -3).alias("closed"),
+    )
     # One row per block of a file, however large the files are.
     return scanned.withColumn("number", F.row_number().over(Window.orderBy("file", "block")).cast("long") - 1)
 
@@ -186,7 +187,7 @@ def records(table: DataFrame, separator: str, level: int) -> DataFrame:
     file is a row of its own with ``last``, which may be empty; ``first`` marks the file's first row. Rows are
     in the order of (number, place) in the files.
     """
-    cut = cut_blocks(table, separator, level)
+    cut = materialize(cut_blocks(table, separator, level), "records")  # read twice here, and as often as its users do
     whole = cut.where(F.col("kind") == WHOLE).select("file", "number", "place", "first", "last", "text")
     # Two parts per block at most. The end of one record comes before the beginning of the next.
     begins = F.col("kind") == BEGIN

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -72,20 +76,58 @@ def _refused(what: str) -> Column:
     return F.raise_error(F.concat(F.lit(f"{what} in "), "__file"))
 
 
+_QUOTE, _ESCAPE, _OPEN, _CLOSE = 1, 2, 3, 4
+_SPECIAL = np.zeros(256, np.uint8)
+_SPECIAL[list(b'"\\[{]')] = [_QUOTE, _ESCAPE, _OPEN, _OPEN, _CLOSE]
+
+
+def _unescaped(at: np.ndarray, kind: np.ndarray, piece: np.ndarray) -> np.ndarray:
+    """Which special bytes do not follow an odd number of backslashes of their piece; backslashes are none."""
+    slashes = kind == _ESCAPE
+    if not slashes.any():
+        return ~slashes
+    joined = np.zeros(len(at), bool)  # goes on a row of backslashes
+    joined[1:] = slashes[1:] & slashes[:-1] & (at[1:] == at[:-1] + 1) & (piece[1:] == piece[:-1])
+    place = np.arange(len(at))
+    row = place - np.maximum.accumulate(np.where(joined, 0, place)) + 1
+    escaped = np.zeros(len(at), bool)
+    escaped[1:] = slashes[:-1] & (row[:-1] % 2 == 1) & (at[1:] == at[:-1] + 1) & (piece[1:] == piece[:-1])
+    return ~slashes & ~escaped
+
+
+def _piece_effects(texts: pa.Array) -> list[np.ndarray]:
+    """end0, end1, add0 and add1 of every piece, from its bytes."""
+    data = texts.cast(pa.large_binary())
+    offsets = np.frombuffer(data.buffers()[1], np.int64)[data.offset : data.offset + len(data) + 1]
+    body = data.buffers()[2]
+    held = np.frombuffer(body, np.uint8)[offsets[0] : offsets[-1]] if body else np.empty(0, np.uint8)
+    kind = _SPECIAL[held]
+    at = np.flatnonzero(kind)
+    kind = kind[at]
+    piece = np.searchsorted(offsets - offsets[0], at, side="right") - 1
+    plain = _unescaped(at, kind, piece)
+    kind, piece = kind[plain], piece[plain]
+    quotes = np.bincount(piece[kind == _QUOTE], minlength=len(data))
+    seen = np.cumsum(kind == _QUOTE) - (np.cumsum(quotes) - quotes)[piece]  # quotes of its piece so far
+    step = np.where(kind == _OPEN, 1, np.where(kind == _CLOSE, -1, 0))
+    outside = seen % 2 == 0
+    out, inner = (np.bincount(piece[side], step[side], len(data)).astype(np.int64) for side in (outside, ~outside))
+    end0 = quotes % 2
+    # What is outside quotes for one start is inside them for the other.
+    return [end0, 1 - end0, out - 1 + end0, inner - end0]
+
+
 def _list_effect(rows: DataFrame) -> DataFrame:
     """Quote state and added depth of pieces of JSON that end with a closing brace, for both starts."""
-    plain = F.when(F.instr("value", "\\") > 0, F.regexp_replace("value", r"(?s)\\.", "")).otherwise(F.col("value"))
-    stripped = rows.withColumn("_plain", plain).withColumn("_outside", F.regexp_replace("_plain", r'"[^"]*+(?:"|$)', ""))
+    names = [*rows.columns, "end0", "end1", "add0", "add1"]
+    value = rows.columns.index("value")
 
-    def depth(name: str) -> Column:
-        closed = F.length(name) - F.length(F.translate(name, "]", ""))
-        return F.length(name) - F.length(F.translate(name, "[{", "")) - closed
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            effects = [pa.array(e, pa.int32()) for e in _piece_effects(batch.column(value))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *effects], names)
 
-    quotes = F.length("_plain") - F.length(F.translate("_plain", '"', ""))
-    counted = stripped.withColumns({"end0": quotes % 2, "_all": depth("_plain"), "_out": depth("_outside")})
-    # What is outside quotes for one start is inside them for the other.
-    effect = {"end1": 1 - F.col("end0"), "add0": F.col("_out") - 1 + F.col("end0"), "add1": F.col("_all") - F.col("_out") - F.col("end0")}
-    return counted.withColumns(effect)
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, *[T.StructField(n, T.IntegerType()) for n in names[-4:]]]))
 
 
 _BLANK = r"[ \t\r\n]*+"

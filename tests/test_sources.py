@@ -3,6 +3,7 @@ import json
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from loomset.operators.unify import to_unified
@@ -225,3 +226,42 @@ def test_states_under_both_starts():
             for a, b in zip(end0, end1):
                 states.append(int(b if states[-1] else a))
             assert blocks.states_of(end0, end1, start).tolist() == states
+
+
+def test_piece_effects_and_block_starts(spark, tmp_path):
+    """Effects from bytes equal a walk over characters; thousands of files need no Python call each."""
+    rng = random.Random(11)
+    texts = ["".join(rng.choice('"\\\\[{]aé') for _ in range(rng.randrange(12))) for _ in range(400)]
+
+    def walk(text: str, quoted: int) -> tuple[int, int]:
+        depth, at = 0, 0
+        while at < len(text):
+            if text[at] == "\\" and at + 1 < len(text):
+                at += 2
+                continue
+            if text[at] == '"':
+                quoted = 1 - quoted
+            elif not quoted:
+                depth += {"[": 1, "{": 1, "]": -1}.get(text[at], 0)
+            at += 1
+        return quoted, depth - (not quoted)
+
+    got = np.array(readers._piece_effects(pa.array(texts))).T.tolist()
+    assert got == [[*(walk(t, q)[0] for q in (0, 1)), *(walk(t, q)[1] for q in (0, 1))] for t in texts]
+    effects = [(f"f{i % 9}", i // 9, 100, 10, *e) for i, e in enumerate(got)]
+    df = spark.createDataFrame(effects, "file string, block long, size long, bytes long, end0 long, end1 long, add0 long, add1 long")
+    starts = blocks.block_starts(df)
+    assert "InPandas" not in starts._jdf.queryExecution().executedPlan().toString()
+    at = {}
+    for r in starts.orderBy("file", "block").collect():
+        assert (r["state"], r["depth"]) == at.get(r["file"], (0, 0))
+        e = got[r["block"] * 9 + int(r["file"][1:])]
+        at[r["file"]] = (e[r["state"]], r["depth"] + e[2 + r["state"]])
+
+
+def test_texts_of_lists_are_cut_once(spark, tmp_path):
+    (tmp_path / "a.json").write_text('[{"a": 1}]')
+    read = readers.read_json_array(spark, str(tmp_path), "a bigint", quarantine=True)
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in plan and "FileScan text" not in plan
+    assert [r["a"] for r in read.collect()] == [1]
