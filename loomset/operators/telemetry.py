@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomset.functions.rounding import fixed, py_round
-from loomset.session import join_lookup
+from loomset.session import join_lookup, materialize
 
 # Steps per chunk. A step occurs once per run, so this bounds the rows of a chunk; a run of four
 # billion steps has 65,536 chunks.
@@ -98,7 +98,9 @@ def _segments(pdf: pd.DataFrame) -> Iterator[tuple[int, int]]:
     if len(pdf) == 0:
         return
     runs, chunks = pdf["run_id"].to_numpy(), pdf["chunk"].to_numpy()
-    cuts = np.flatnonzero((runs[1:] != runs[:-1]) | (chunks[1:] != chunks[:-1])) + 1
+    # A run without an id is a NaN, which differs from itself.
+    other = (runs[1:] != runs[:-1]) & ((runs[1:] == runs[1:]) | (runs[:-1] == runs[:-1]))
+    cuts = np.flatnonzero(other | (chunks[1:] != chunks[:-1])) + 1
     edges = [0, *cuts.tolist(), len(pdf)]
     yield from zip(edges[:-1], edges[1:])
 
@@ -343,9 +345,29 @@ def _with_carry(rows: DataFrame, carried: DataFrame) -> DataFrame:
     )
 
 
-def _chunk_heads(rows: DataFrame, start: DataFrame) -> DataFrame:
+def _long_runs(rows: DataFrame, chunk_steps: int) -> tuple[DataFrame, DataFrame | None]:
+    """Rows with their chunk, and the smallest loss of the chunks of long runs, if there are any.
+
+    A run of up to ``chunk_steps`` evaluations is one chunk, wherever its steps lie. In longer ones neighbouring
+    stretches of ``chunk_steps`` steps make up a chunk until they hold as many evaluations.
+    """
+    sizes = rows.groupBy("run_id").agg(F.count("*").alias("n")).where(F.col("n") > chunk_steps)
+    long = materialize(sizes.select("run_id", F.lit(True).alias("long")), "long_runs")
+    if long.isEmpty():
+        return rows.withColumn("chunk", F.lit(0).cast("long")), None
+    marked = join_lookup(rows, long, ["run_id"])
+    cells = marked.where("long").groupBy("run_id", "chunk").agg(F.count("*").alias("n"), F.min("eval_loss").alias("low"))
+    # One row per stretch of steps reaches this window, 65,536 of a run of four billion steps.
+    before = Window.partitionBy("run_id").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    held = F.floor(F.coalesce(F.sum("n").over(before), F.lit(0)) / chunk_steps).cast("long")
+    cells = materialize(cells.select("run_id", "chunk", held.alias("held"), "low"), "chunks")
+    placed = join_lookup(marked, cells.select("run_id", "chunk", "held"), ["run_id", "chunk"])
+    rows = placed.select("run_id", F.coalesce("held", F.lit(0)).cast("long").alias("chunk"), "step", "eval_loss", "long")
+    return rows, cells.groupBy("run_id", F.col("held").alias("chunk")).agg(F.min("low").alias("low"))
+
+
+def _chunk_heads(per_chunk: DataFrame, start: DataFrame) -> DataFrame:
     """(run_id, chunk, low, first): the smallest loss before each chunk, and whether nothing comes before it."""
-    per_chunk = rows.groupBy("run_id", "chunk").agg(F.min("eval_loss").alias("low"))
     # One row per chunk reaches this window, 65,536 of a run of four billion steps.
     before = Window.partitionBy("run_id").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     known = F.when(~F.isnan("low"), F.col("low"))
@@ -368,14 +390,15 @@ def early_stopping_states(
     ``start`` ``(run_id, best_loss, wait_count)`` has the states that earlier evaluations left, one row per
     run. A run that begins with a NaN has a null best loss, here and there.
 
-    The state machine is evaluated as maps. A chunk becomes a piecewise constant map from the entering best
+    A run of up to ``chunk_steps`` evaluations is walked in one go. In longer runs the state machine is
+    evaluated as maps. A chunk becomes a piecewise constant map from the entering best
     loss to the leaving state, maps of neighbouring chunks are composed into one per group of ``FAN``, and
     groups are walked to get their start states; then chunks of a group, then the rows of a chunk. Steady
     falls faster than ``min_delta`` a step leave one piece per chunk; slower ones at most the prefix minima
     within ``min_delta`` of the entering loss.
     """
     kind = events.schema["run_id"].dataType.simpleString()
-    rows = chunked(events, chunk_steps)
+    rows, per_chunk = _long_runs(chunked(events, chunk_steps), chunk_steps)
     if start is None:
         entered = events.sparkSession.createDataFrame([], f"run_id {kind}, best_in double, wait_in bigint, started boolean")
     else:
@@ -385,20 +408,31 @@ def early_stopping_states(
             F.col("wait_count").cast("long").alias("wait_in"),
             F.lit(True).alias("started"),
         )
-    maps = _with_carry(rows, _chunk_heads(rows, entered)).mapInPandas(_chunk_maps(min_delta), f"run_id {kind}, chunk bigint, {_MAP}")
+    runs = rows.select("run_id").distinct().join(entered, "run_id", "left")
+    carried = runs.withColumns({"chunk": F.lit(0).cast("long"), "started": F.coalesce("started", F.lit(False))})
+    if per_chunk is not None:
+        short = carried.join(per_chunk.select("run_id").distinct(), "run_id", "left_anti")
+        carried = short.unionByName(_entering(rows.where("long").drop("long"), per_chunk, entered, min_delta, kind))
+        rows = rows.drop("long")
+    return _with_carry(rows, carried).mapInPandas(
+        _finish_chunks(patience, min_delta),
+        f"run_id {kind}, step bigint, eval_loss double, best_loss double, wait_count bigint, should_stop boolean",
+    )
+
+
+def _entering(rows: DataFrame, per_chunk: DataFrame, entered: DataFrame, min_delta: float, kind: str) -> DataFrame:
+    """(run_id, chunk, best_in, wait_in, started): the state that enters every chunk of long runs."""
+    entered = entered.join(per_chunk.select("run_id").distinct(), "run_id", "left_semi")
+    maps = _with_carry(rows, _chunk_heads(per_chunk, entered)).mapInPandas(_chunk_maps(min_delta), f"run_id {kind}, chunk bigint, {_MAP}")
     maps = maps.withColumn("grp", F.floor(F.col("chunk") / FAN))
     grouped = maps.repartition("run_id", "grp").sortWithinPartitions("run_id", "grp", "chunk", F.col("above").desc_nulls_last())
     composed = grouped.mapInPandas(_compose_groups(min_delta), f"run_id {kind}, grp bigint, {_MAP}")
     into_groups = _in_order(composed, entered, ["run_id"], "grp").mapInPandas(
         _walk(min_delta, ["run_id"], "grp"), f"run_id {kind}, grp bigint, best_in double, wait_in bigint, started boolean"
     )
-    carried = _in_order(maps, into_groups, ["run_id", "grp"], "chunk").mapInPandas(
+    return _in_order(maps, into_groups, ["run_id", "grp"], "chunk").mapInPandas(
         _walk(min_delta, ["run_id", "grp"], "chunk"), f"run_id {kind}, chunk bigint, best_in double, wait_in bigint, started boolean"
     )
-    return _with_carry(rows, carried).mapInPandas(
-        _finish_chunks(patience, min_delta),
-        f"run_id {kind}, step bigint, eval_loss double, best_loss double, wait_count bigint, should_stop boolean",
-    )
 
 
 def early_stopping(

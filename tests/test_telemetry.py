@@ -241,3 +241,13 @@ def test_admission_jumps_to_the_same_rows():
                 best = sorted([*best, x])[:k]
         enters, left = telemetry.admitted(np.array(losses, float), kept, k)
         assert enters.tolist() == want and sorted(left) == best
+
+
+def test_short_runs_with_scattered_steps_take_one_chunk(spark):
+    runs = {f"r{k}": {1_000 * i + k: float((i * 7 + k) % 5) for i in range(12)} for k in range(4)}
+    rows = [(r, step, loss) for r, steps in runs.items() for step, loss in steps.items()]
+    df = spark.createDataFrame(rows, "run_id string, step bigint, eval_loss double")
+    got = early_stopping_states(df, 3, 0.01, 16)
+    assert got._jdf.queryExecution().executedPlan().toString().count("MapInPandas") == 1
+    want = [tuple(r) for r in early_stopping_states(df, 3, 0.01, 4).orderBy("run_id", "step").collect()]
+    assert [tuple(r) for r in got.orderBy("run_id", "step").collect()] == want and len(want) == 48
