@@ -88,7 +88,7 @@ def _batches(rows, column: str = "value", most: int = 4):
 
 def _write(rows: DataFrame, path: str, tail: str) -> str:
     """Rows of one binary ``value`` as files; the cast to text keeps the bytes, whatever they are."""
-    rows.select(F.col("value").cast("string")).write.option("lineSep", tail).option("compression", "gzip").option("maxRecordsPerFile", 1).text(path)
+    rows.select(F.col("value").cast("string")).write.option("lineSep", tail).option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").option("maxRecordsPerFile", 1).text(path)
     return path
 
 
